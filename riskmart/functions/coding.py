@@ -1,11 +1,12 @@
-"""Code lists mapped to labels with column expressions."""
+"""Code lists mapped to labels. Operands are SQL text: a column name or an expression."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
 from ..schema import AGE_BANDS
-from .numeric import lenient_double, trimmed
+from .nulls import text
+from .numeric import double_sql, trimmed_sql
 
 # ICD-9 groups as (label, low, high, symptom code); both ends closed, first match wins.
 DIAGNOSIS_RANGES = [
@@ -19,20 +20,23 @@ DIAGNOSIS_RANGES = [
 ]
 
 
-def diagnosis_group(code: Column) -> Column:
+def diagnosis_group(operand: str) -> Column:
     """Ten-label group of an ICD-9 code. Range ends apply to the decimal value, so 459.81 is ``Other``."""
-    text, value = trimmed(code), lenient_double(code)
-    group = F.when(code.isNull(), "Missing").when(text.startswith("V") | text.startswith("E"), "Other")
-    group = group.when((value >= 250) & (value < 251), "Diabetes")
+    clean, value = trimmed_sql(operand), double_sql(operand)
+    whens = [
+        f"WHEN {operand} IS NULL THEN 'Missing'",
+        f"WHEN left({clean}, 1) IN ('V', 'E') THEN 'Other'",
+        f"WHEN {value} >= 250 AND {value} < 251 THEN 'Diabetes'",
+    ]
     for label, low, high, symptom in DIAGNOSIS_RANGES:
-        inside = value.between(low, high)
+        inside = f"{value} BETWEEN {low} AND {high}"
         if symptom is not None:
-            inside = inside | ((value >= symptom) & (value < symptom + 1))
-        group = group.when(inside, label)
-    return group.otherwise("Other")
+            inside += f" OR ({value} >= {symptom} AND {value} < {symptom + 1})"
+        whens.append(f"WHEN {inside} THEN {text(label)}")
+    return F.expr(f"CASE {' '.join(whens)} ELSE 'Other' END")
 
 
-def age_ordinal(band: Column) -> Column:
+def age_ordinal(operand: str) -> Column:
     """Position of an age band, NULL when the band is unknown."""
-    pairs = [item for i, text in enumerate(AGE_BANDS) for item in (F.lit(text), F.lit(i))]
-    return F.try_element_at(F.create_map(*pairs), band)
+    whens = " ".join(f"WHEN {text(band)} THEN {i}" for i, band in enumerate(AGE_BANDS))
+    return F.expr(f"CASE {operand} {whens} END")

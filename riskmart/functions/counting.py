@@ -1,40 +1,40 @@
-"""Row-wise counts, indicators and recodes with explicit null rules."""
+"""Row-wise counts, indicators and recodes with explicit null rules. Operands are SQL text."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, functions as F
 
+from .nulls import text, texts
 
-def _add_up(flags: Sequence[Column]) -> Column:
-    return reduce(add, [f.cast("int") for f in flags], F.lit(0))
 
+def _add_up(conditions: Sequence[str]) -> Column:
+    return F.expr(" + ".join(f"CAST({c} AS INT)" for c in conditions) or "0")
 
-def count_in(columns: Sequence[Column], values: Sequence[str]) -> Column:
-    """How many of the columns hold one of ``values``; NULL counts zero."""
-    return _add_up([F.coalesce(c.isin(list(values)), F.lit(False)) for c in columns])
 
+def count_in(operands: Sequence[str], values: Sequence[str]) -> Column:
+    """How many of the operands hold one of ``values``; NULL counts zero."""
+    return _add_up([f"coalesce({o} IN ({texts(values)}), false)" for o in operands])
 
-def count_not_equal(columns: Sequence[Column], value: str) -> Column:
-    """How many of the columns differ from ``value``; NULL differs."""
-    return _add_up([~c.eqNullSafe(F.lit(value)) for c in columns])
 
+def count_not_equal(operands: Sequence[str], value: str) -> Column:
+    """How many of the operands differ from ``value``; NULL differs."""
+    return _add_up([f"(NOT {o} <=> {text(value)})" for o in operands])
 
-def presence_flag(c: Column) -> Column:
-    return c.isNotNull().cast("int")
 
+def presence_flag(operand: str) -> Column:
+    return F.expr(f"CAST({operand} IS NOT NULL AS INT)")
 
-def absence_flag(c: Column) -> Column:
-    return c.isNull().cast("int")
 
+def absence_flag(operand: str) -> Column:
+    return F.expr(f"CAST({operand} IS NULL AS INT)")
 
-def or_else(c: Column, sentinel: str) -> Column:
-    return F.coalesce(c, F.lit(sentinel))
 
+def or_else(operand: str, sentinel: str) -> Column:
+    return F.expr(f"coalesce({operand}, {text(sentinel)})")
 
-def recode(c: Column, values: Sequence[str], to: str) -> Column:
-    """``to`` for NULL and any of ``values``, otherwise the column itself."""
-    return F.when(c.isNull() | c.isin(list(values)), F.lit(to)).otherwise(c)
+
+def recode(operand: str, values: Sequence[str], to: str) -> Column:
+    """``to`` for NULL and any of ``values``, otherwise the operand itself."""
+    return F.expr(f"CASE WHEN {operand} IS NULL OR {operand} IN ({texts(values)}) THEN {text(to)} ELSE {operand} END")

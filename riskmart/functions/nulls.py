@@ -13,9 +13,22 @@ DEFAULT_NULL_TOKENS = [
 ]
 
 
-def quoted(name: str) -> Column:
-    """Column reference that survives hyphens and dots in the name."""
-    return F.col(f"`{name}`")
+def name(column: str) -> str:
+    """Column name as SQL text that survives hyphens and dots."""
+    return f"`{column}`"
+
+
+def text(value: str) -> str:
+    """String literal as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def texts(values: Iterable[str]) -> str:
+    return ", ".join(text(v) for v in values)
+
+
+def quoted(column: str) -> Column:
+    return F.col(name(column))
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -24,9 +37,10 @@ def string_columns(df: DataFrame) -> list[str]:
 
 def null_tokens(df: DataFrame, tokens: Iterable[str] = tuple(DEFAULT_NULL_TOKENS)) -> DataFrame:
     """Null every string cell whose whole text is one of ``tokens``."""
-    listed, strings = list(tokens), set(string_columns(df))
-    return df.select(*[
-        F.when(~quoted(c).isin(listed), quoted(c)).alias(c) if c in strings else quoted(c) for c in df.columns
+    listed, strings = texts(tokens), set(string_columns(df))
+    return df.selectExpr(*[
+        f"CASE WHEN {name(c)} NOT IN ({listed}) THEN {name(c)} END AS {name(c)}" if c in strings else name(c)
+        for c in df.columns
     ])
 
 

@@ -1,4 +1,7 @@
-"""Number parsing and null-safe arithmetic that neither throws on bad text nor loses nulls."""
+"""Number parsing and null-safe arithmetic that neither throws on bad text nor loses nulls.
+
+Operands are SQL text: a column name or an expression.
+"""
 
 from __future__ import annotations
 
@@ -6,41 +9,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from .nulls import text
+
 # Text accepted as a number. Rules out "250d", "inf" and "nan", which a bare cast takes.
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
-BLANKS = " \t\n\r"
 
 
-def trimmed(c: Column) -> Column:
-    return F.btrim(c.cast("string"), F.lit(BLANKS))
+def trimmed_sql(operand: str) -> str:
+    return f"btrim(CAST({operand} AS STRING), ' \\t\\n\\r')"
+
+
+def double_sql(operand: str) -> str:
+    clean = trimmed_sql(operand)
+    return f"CASE WHEN {clean} RLIKE {text(NUMBER_PATTERN)} THEN try_cast({clean} AS DOUBLE) END"
+
+
+def trimmed(operand: str) -> Column:
+    return F.expr(trimmed_sql(operand))
 
 
-def lenient_double(c: Column) -> Column:
+def lenient_double(operand: str) -> Column:
     """Double value of a text number; NULL for anything else."""
-    text = trimmed(c)
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return F.expr(double_sql(operand))
 
 
-def strict_bigint(c: Column, name: str = "value") -> Column:
+def strict_bigint(operand: str, label: str = "value") -> Column:
     """Integer value of a text number, decimals truncated; fails the job on bad text or NULL."""
-    text = trimmed(c)
-    problem = F.concat(F.lit(f"{name}: not a number: "), F.coalesce(text, F.lit("NULL")))
-    return (
-        F.when(text.rlike(INTEGER_PATTERN), text.cast("bigint"))
-        .when(text.rlike(NUMBER_PATTERN), text.cast("double").cast("bigint"))
-        .otherwise(F.raise_error(problem).cast("bigint"))
+    clean = trimmed_sql(operand)
+    return F.expr(
+        f"CASE WHEN {clean} RLIKE {text(INTEGER_PATTERN)} THEN CAST({clean} AS BIGINT) "
+        f"WHEN {clean} RLIKE {text(NUMBER_PATTERN)} THEN CAST(CAST({clean} AS DOUBLE) AS BIGINT) "
+        f"ELSE CAST(raise_error(concat({text(label + ': not a number: ')}, coalesce({clean}, 'NULL'))) AS BIGINT) END"
     )
 
 
-def null_safe_sum(columns: Sequence[Column], as_type: str = "double") -> Column:
+def null_safe_sum(operands: Sequence[str], as_type: str = "double") -> Column:
     """Sum in which unparseable and NULL terms count as zero."""
-    total = F.lit(0).cast(as_type)
-    for c in columns:
-        total = total + F.coalesce(lenient_double(c).cast(as_type), F.lit(0).cast(as_type))
-    return total
+    zero = f"CAST(0 AS {as_type})"
+    return F.expr(" + ".join(f"coalesce(CAST({double_sql(o)} AS {as_type}), {zero})" for o in operands) or zero)
 
 
-def clip_upper(c: Column, upper: Column) -> Column:
+def clip_upper(operand: str, upper: str | float) -> Column:
     """Smaller of the two; NULL stays NULL (``least`` alone would return the bound)."""
-    return F.when(c.isNotNull(), F.least(c, upper))
+    return F.expr(f"CASE WHEN {operand} IS NOT NULL THEN least({operand}, {upper}) END")

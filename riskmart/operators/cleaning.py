@@ -11,13 +11,13 @@ from ..functions import (
     absence_flag, age_ordinal, count_in, count_not_equal, diagnosis_group, lenient_double, null_markers,
     null_safe_sum, or_else, presence_flag, strict_bigint,
 )
-from ..functions.nulls import quoted
+from ..functions.nulls import name, quoted
 from .decoding import decode
 
 
 def exclude_ids(df: DataFrame, column: str, ids: Sequence[float]) -> DataFrame:
     """Drop rows whose numeric id is listed; a NULL or unparseable id is kept."""
-    listed = lenient_double(F.col(column)).isin([float(i) for i in ids])
+    listed = lenient_double(name(column)).isin([float(i) for i in ids])
     return df.where(~F.coalesce(listed, F.lit(False)))
 
 
@@ -71,35 +71,34 @@ def normalise_names(df: DataFrame) -> DataFrame:
 def derive_encounter_features(df: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """All derived encounter columns in one projection, then the three description lookups."""
     drugs = [c for c in S.DRUG_COLUMNS if c in df.columns]
-    drug_cells = [quoted(c) for c in drugs]
+    drug_cells = [name(c) for c in drugs]
     replaced = {
-        "medical_specialty": or_else(F.col("medical_specialty"), "Unknown"),
-        "payer_code": or_else(F.col("payer_code"), "Unknown"),
-        **{c: strict_bigint(F.col(c), c) for c in S.COUNTER_COLUMNS},
+        "medical_specialty": or_else("medical_specialty", "Unknown"),
+        "payer_code": or_else("payer_code", "Unknown"),
+        **{c: strict_bigint(c, c) for c in S.COUNTER_COLUMNS},
     }
     dropped = [c for c in drugs if c not in S.KEPT_DRUGS]
-    kept = [replaced.get(c, quoted(c)).alias(c) for c in df.columns if c not in dropped]
-    lookup_keys = [F.col(key).alias(f"_raw_{name}") for name, key in S.DIMENSIONS.items()]
+    kept = [replaced[c].alias(c) if c in replaced else name(c) for c in df.columns if c not in dropped]
     wide = df.select(
         *kept,
-        *[diagnosis_group(F.col(c)).alias(f"{c}_group") for c in S.DIAGNOSIS_COLUMNS],
-        age_ordinal(F.col("age")).alias("age_ordinal"),
+        *[diagnosis_group(c).alias(f"{c}_group") for c in S.DIAGNOSIS_COLUMNS],
+        age_ordinal("age").alias("age_ordinal"),
         count_in(drug_cells, ["Up", "Down"]).alias("n_med_changes"),
         count_not_equal(drug_cells, "No").alias("n_diabetes_meds"),
-        presence_flag(F.col("A1Cresult")).alias("a1c_tested"),
-        or_else(F.col("A1Cresult"), "NotTested").alias("a1c_level"),
-        presence_flag(F.col("max_glu_serum")).alias("glu_tested"),
-        or_else(F.col("max_glu_serum"), "NotTested").alias("glu_level"),
-        absence_flag(F.col("medical_specialty")).alias("specialty_missing"),
-        absence_flag(F.col("payer_code")).alias("payer_missing"),
-        null_safe_sum([F.col(c) for c in S.VISIT_COUNTERS], "bigint").alias("prior_visits_total"),
-        *lookup_keys,
+        presence_flag("A1Cresult").alias("a1c_tested"),
+        or_else("A1Cresult", "NotTested").alias("a1c_level"),
+        presence_flag("max_glu_serum").alias("glu_tested"),
+        or_else("max_glu_serum", "NotTested").alias("glu_level"),
+        absence_flag("medical_specialty").alias("specialty_missing"),
+        absence_flag("payer_code").alias("payer_missing"),
+        null_safe_sum(S.VISIT_COUNTERS, "bigint").alias("prior_visits_total"),
+        *[F.col(key).alias(f"_raw_{dimension}") for dimension, key in S.DIMENSIONS.items()],
     )
-    for name in S.DIMENSIONS:
-        dimension = dimensions[name]
+    for output, key in S.DIMENSIONS.items():
+        dimension = dimensions[output]
         order = "line_no" if "line_no" in dimension.columns else None
-        wide = decode(wide, f"_raw_{name}", dimension, S.DIMENSIONS[name], "description", name, order)
-    return wide.drop(*[f"_raw_{name}" for name in S.DIMENSIONS])
+        wide = decode(wide, f"_raw_{output}", dimension, key, "description", output, order)
+    return wide.drop(*[f"_raw_{output}" for output in S.DIMENSIONS])
 
 
 def clean_and_transform(df: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .profiling import column_values, exact_quantiles
-from .ranking import level_metrics, precision_at, score_levels
+from .ranking import cut_levels, level_metrics, level_sums, precision_from_cuts, score_levels
 
 METRIC_FRACTIONS = {"precision_at_5pct": 0.05, "precision_at_10pct": 0.10, "precision_at_20pct": 0.20}
 
@@ -73,8 +73,8 @@ def full_metrics(
 ) -> DataFrame:
     """All evaluation numbers, one row per group.
 
-    ``thresholds`` is a number, or a table ``by..., threshold``. Every metric except the tie-breaking of
-    precision@k is read from one score-level table.
+    ``thresholds`` is a number, or a table ``by..., threshold``. One aggregate over the score levels yields every
+    metric except the tie-breaking of precision@k.
     """
     by = list(by)
     levels = score_levels(df, score, label, by)
@@ -88,22 +88,22 @@ def full_metrics(
     def total(c: Column, when: Column) -> Column:
         return F.coalesce(F.sum(F.when(when, c)), F.lit(0))
 
-    cells = at.groupBy(*by).agg(
+    summary = at.groupBy(*by).agg(
         F.max("threshold").alias("threshold"),
         total(neg, ~flagged).alias("tn"), total(neg, flagged).alias("fp"),
         total(F.col("pos"), ~flagged).alias("fn"), total(F.col("pos"), flagged).alias("tp"),
+        *level_sums(), cut_levels(list(METRIC_FRACTIONS.values())).alias("_cuts"),
     )
-    ranked = level_metrics(levels, by)
-    at_k = precision_at(df, score, label, id_column, list(METRIC_FRACTIONS.values()), by, levels)
-    at_k = at_k.groupBy(*by).agg(*[
+    cuts = summary.select(*by, F.inline("_cuts")).where("k is not null")
+    at_k = precision_from_cuts(cuts, df, score, label, id_column, by).groupBy(*by).agg(*[
         F.max(F.when(F.col("fraction") == F.lit(f), F.col("precision"))).alias(name)
         for name, f in METRIC_FRACTIONS.items()
     ])
+    ranked = summary.select(*by, *level_metrics(), "threshold", "tn", "fp", "fn", "tp")
     if by:
-        joined = ranked.join(at_k, by).join(cells, by)
+        joined = ranked.join(at_k, by)
     else:  # one row each
-        one_row = lambda part: part.select(F.struct(*part.columns)).scalar()
-        joined = ranked.withColumn("_k", one_row(at_k)).withColumn("_c", one_row(cells)).select("*", "_k.*", "_c.*")
+        joined = ranked.withColumn("_k", at_k.select(F.struct(*METRIC_FRACTIONS)).scalar()).select("*", "_k.*")
     return joined.select(
         *by, "pr_auc", "roc_auc", "brier_score", *METRIC_FRACTIONS, "base_rate",
         _share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision_at_threshold"),

@@ -29,14 +29,14 @@ PUBLISHED_METRICS = [
 ]
 
 
-def value_type(value: Column) -> Column:
-    text = trimmed(value)
+def value_type(operand: str) -> Column:
+    text = trimmed(operand)
     return F.when(text.rlike(INTEGER_PATTERN), "integral").when(text.rlike(NUMBER_PATTERN), "fractional").otherwise("text")
 
 
 def column_profile(counts: DataFrame) -> DataFrame:
     """Per column: rows, NULLs, completeness, distinct values and the share of each inferred type."""
-    typed = counts.withColumn("_type", F.when(F.col("value").isNotNull(), value_type(F.col("value"))))
+    typed = counts.withColumn("_type", F.when(F.col("value").isNotNull(), value_type("value")))
     present = F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0))
     sums = typed.groupBy("column").agg(
         F.sum("n").alias("n"), present.alias("n_present"), F.count("value").alias("n_distinct"),

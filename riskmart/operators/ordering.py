@@ -41,7 +41,10 @@ def value_ranges(df: DataFrame, key: str, ranges: int | None = None) -> list[flo
     The bounds decide only how the work is spread, never the result.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
+    if ranges < 2:
+        return []
+    probabilities = [i / ranges for i in range(1, ranges)]
+    cuts = df.agg(F.percentile_approx(key, probabilities, 20 * ranges)).first()[0] or []
     return sorted(set(cuts))
 
 
@@ -60,12 +63,14 @@ def running_totals(
     descending: bool = False,
     cuts: Sequence[float] = (),
 ) -> DataFrame:
-    """Add ``<sum>_before``: the total of ``sum`` over all rows whose key comes earlier within ``by``.
+    """Add ``<sum>_before``, the total of ``sum`` over all rows whose key comes earlier within ``by``, and
+    ``<sum>_total``, the total of the whole group.
 
     ``levels`` holds one row per (``by``, ``key``); ``key`` is a double without NULLs.
     """
     by = list(by)
-    ranged = _with_range(levels, key, cuts)
+    # One shuffle by range serves the windows inside the ranges and the totals per range.
+    ranged = _with_range(levels, key, cuts).repartition(*by, "_range")
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
 
     def before(total: str, order: str, within: list[str]) -> Column:
@@ -74,10 +79,15 @@ def running_totals(
 
     # One row per range: bounded by the number of ranges, whatever the data size.
     offsets = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = offsets.select(*by, "_range", *[before(s, "_range", by).alias(f"_offset_{s}") for s in sums])
+    group = Window.partitionBy(*by)
+    offsets = offsets.select(
+        *by, "_range", *[before(s, "_range", by).alias(f"_offset_{s}") for s in sums],
+        *[F.sum(s).over(group).alias(f"{s}_total") for s in sums],
+    )
     inside = ranged.select("*", *[before(s, key, [*by, "_range"]).alias(f"_inside_{s}") for s in sums])
     return inside.join(offsets, [*by, "_range"]).select(
-        *levels.columns, *[(F.col(f"_inside_{s}") + F.col(f"_offset_{s}")).alias(f"{s}_before") for s in sums]
+        *levels.columns, *[(F.col(f"_inside_{s}") + F.col(f"_offset_{s}")).alias(f"{s}_before") for s in sums],
+        *[f"{s}_total" for s in sums],
     )
 
 
@@ -114,6 +124,29 @@ def first_in_hash_order(
     )
 
 
+def positives_in_hash_order(df: DataFrame, id_column: str, flag: str, need: str, by: Sequence[str]) -> DataFrame:
+    """Sum of ``flag`` over the first ``need`` rows of each group in (hash of id, id) order: ``by..., hits``.
+
+    Prefixes wholly inside the first rows are summed as counts; rows are ordered only inside the one prefix per
+    group that is cut.
+    """
+    by = list(by)
+    keyed = _with_prefix(df, id_column, None)
+    pieces = keyed.groupBy(*by, "_prefix").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(flag).alias("_flags"), F.max(need).alias("_need"))
+    earlier = Window.partitionBy(*by).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    pieces = pieces.where(F.col("_before") < F.col("_need"))
+    inside = F.col("_before") + F.col("_n") <= F.col("_need")
+    whole = pieces.where(inside).groupBy(*by).agg(F.sum("_flags").alias("_whole"))
+    cut = pieces.where(~inside).select(*by, "_prefix", (F.col("_need") - F.col("_before")).alias("_left"))
+    position = F.row_number().over(Window.partitionBy(*by).orderBy("_hash", id_column))
+    part = keyed.join(cut, [*by, "_prefix"]).withColumn("_position", position)
+    part = part.where(F.col("_position") <= F.col("_left")).groupBy(*by).agg(F.sum(flag).alias("_part"))
+    hits = F.coalesce("_whole", F.lit(0)) + F.coalesce("_part", F.lit(0))
+    return whole.join(part, by, "full").select(*by, hits.alias("hits"))
+
+
 def sample_rows(df: DataFrame, n: int, id_column: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer), chosen by a seeded hash of the id."""
     return first_in_hash_order(df.withColumn("_need", F.lit(n)), id_column, "_need", seed=seed).select(*df.columns)

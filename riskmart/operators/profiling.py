@@ -6,17 +6,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.nulls import quoted
+from ..functions.nulls import name, quoted
 from ..functions.numeric import clip_upper
 from .ordering import running_totals, value_ranges
 
 
 def column_values(df: DataFrame, columns: Sequence[str], carry: Sequence[Column] = ()) -> DataFrame:
     """Long form ``(column, value, ...carry)``: one row per cell, values as text, NULL kept."""
-    cells = [quoted(c).cast("string").alias(c) for c in columns]
+    cells = [F.expr(f"CAST({name(c)} AS STRING) AS {name(c)}") for c in columns]
     kept = df.select(*carry, *cells)
     ids = kept.columns[: len(carry)]
-    return kept.unpivot(ids, [quoted(c) for c in columns], "column", "value")
+    return kept.unpivot(ids, [name(c) for c in columns], "column", "value")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -27,8 +27,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def missing_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Percent NULL per column, columns without NULLs left out, largest first."""
     columns = columns or df.columns
-    wide = df.agg(*[F.avg(quoted(c).isNull().cast("double")).alias(c) for c in columns])
-    long = wide.unpivot([], [quoted(c) for c in columns], "column", "share")
+    wide = df.agg(*[F.expr(f"avg(CAST({name(c)} IS NULL AS DOUBLE)) AS {name(c)}") for c in columns])
+    long = wide.unpivot([], [name(c) for c in columns], "column", "share")
     return long.where("share > 0").select("column", (F.col("share") * 100).alias("pct_null")).orderBy(
         F.col("pct_null").desc(), "column"
     )
@@ -112,7 +112,7 @@ def rate_by_groups(df: DataFrame, target: str, columns: Sequence[str], min_rows:
 
 def rate_by_clipped_counter(df: DataFrame, counter: str, target: str, upper: int = 5) -> DataFrame:
     """Target rate per counter value, with everything from ``upper`` on in one group."""
-    clipped = clip_upper(F.col(counter), F.lit(upper))
+    clipped = clip_upper(name(counter), upper)
     return df.where(F.col(counter).isNotNull()).groupBy(clipped.alias("bucket")).agg(
         F.avg(F.col(target).cast("double")).alias("rate"), F.count(F.lit(1)).alias("n")
     )
@@ -130,16 +130,11 @@ def exact_quantiles(
     present = df.select(*by, F.col(column).cast("double").alias("value")).where("value is not null")
     levels = present.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
     totals = running_totals(levels, "value", ["n"], by, cuts=value_ranges(present, "value"))
-    sizes = levels.groupBy(*by).agg(F.sum("n").alias("_total"))
-    if by:
-        sized = totals.join(sizes, by)
-    else:
-        sized = totals.withColumn("_total", sizes.scalar())
     wanted = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("q")
-    position = (F.col("_total") - 1) * F.col("q")
+    position = (F.col("n_total") - 1) * F.col("q")
     holds = lambda p: (p >= F.col("n_before")) & (p < F.col("n_before") + F.col("n"))
     low, high = F.floor(F.col("_at")), F.ceil(F.col("_at"))
-    near = sized.select(*by, "value", "n", "n_before", "_total", wanted).withColumn("_at", position)
+    near = totals.select(*by, "value", "n", "n_before", "n_total", wanted).withColumn("_at", position)
     near = near.where(holds(low) | holds(high))
     ends = near.groupBy(*by, "q").agg(
         F.max(F.when(holds(low), F.col("value"))).alias("_low"),

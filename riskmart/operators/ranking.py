@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import alert_count
-from .ordering import first_in_hash_order, running_totals, value_ranges
+from .ordering import positives_in_hash_order, running_totals, value_ranges
 
 
 def score_levels(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -22,8 +22,8 @@ def score_levels(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
     return running_totals(levels, "score", ["n", "pos"], by, descending=True, cuts=value_ranges(scored, "score"))
 
 
-def level_metrics(levels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Average precision, ROC-AUC, Brier score and base rate from score levels."""
+def level_sums() -> list[Column]:
+    """Aggregates over the score levels of a group from which ``level_metrics`` computes its ratios."""
     pos, n = F.col("pos").cast("double"), F.col("n").cast("double")
     neg = n - pos
     cum_pos, cum_n = F.col("pos_before") + pos, F.col("n_before") + n
@@ -31,60 +31,69 @@ def level_metrics(levels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     # Pairs lost: each positive loses to the negatives scored higher and half-loses to those at its own score.
     lost = pos * (neg_before + F.lit(0.5) * neg)
     score = F.col("score")
-    sums = levels.groupBy(*by).agg(
-        F.sum("n").alias("n"),
-        F.sum("pos").alias("positives"),
-        F.sum(pos * cum_pos / cum_n).alias("_precision_steps"),
-        F.sum(lost).alias("_lost"),
-        F.sum(pos * F.pow(score - 1, 2) + neg * F.pow(score, 2)).alias("_squares"),
-    )
-    p = F.col("positives").cast("double")
-    q = F.col("n") - p
-    return sums.select(
-        *by, "n", "positives",
-        F.try_divide("_precision_steps", p).alias("pr_auc"),
+    return [
+        F.sum("n").alias("_n"), F.sum("pos").alias("_pos"), F.sum(pos * cum_pos / cum_n).alias("_steps"),
+        F.sum(lost).alias("_lost"), F.sum(pos * F.pow(score - 1, 2) + neg * F.pow(score, 2)).alias("_squares"),
+    ]
+
+
+def level_metrics() -> list[Column]:
+    """Average precision, ROC-AUC, Brier score and base rate from the sums; NULL where a class is absent."""
+    p, q = F.col("_pos").cast("double"), (F.col("_n") - F.col("_pos")).cast("double")
+    return [
+        F.try_divide("_steps", p).alias("pr_auc"),
         (F.lit(1.0) - F.try_divide("_lost", p * q)).alias("roc_auc"),
-        (F.col("_squares") / F.col("n")).alias("brier_score"),
-        (p / F.col("n")).alias("base_rate"),
-    )
+        (F.col("_squares") / F.col("_n")).alias("brier_score"),
+        (p / F.col("_n")).alias("base_rate"),
+    ]
 
 
 def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    return level_metrics(score_levels(df, score, label, by), by)
+    """``by..., n, positives, pr_auc, roc_auc, brier_score, base_rate``."""
+    sums = score_levels(df, score, label, by).groupBy(*by).agg(*level_sums())
+    return sums.select(*by, F.col("_n").alias("n"), F.col("_pos").alias("positives"), *level_metrics())
 
 
-def precision_at(
-    df: DataFrame, score: str, label: str, id_column: str, fractions: Sequence[float],
-    by: Sequence[str] = (), levels: DataFrame | None = None,
+def cut_levels(fractions: Sequence[float]) -> Column:
+    """Aggregate over score levels: per fraction, k and the one level that k falls into."""
+    cuts = []
+    for fraction in fractions:
+        k = alert_count(F.col("n_total"), float(fraction))
+        here = (F.col("n_before") < k) & (k <= F.col("n_before") + F.col("n"))
+        level = F.struct(F.lit(float(fraction)).alias("fraction"), k.alias("k"), "score", "n", "pos", "pos_before",
+                         (k - F.col("n_before")).alias("need"))
+        cuts.append(F.max(F.when(here, level)))
+    return F.array(*cuts)
+
+
+def precision_from_cuts(
+    cuts: DataFrame, df: DataFrame, score: str, label: str, id_column: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Precision among the top ``fraction`` of rows by score: ``by..., fraction, k, precision``.
+    """``by..., fraction, k, precision`` from one row per (group, fraction) of ``cut_levels``.
 
-    Ties are ordered by a hash of the id. Whole score levels are counted from the level table; only the level that
-    k cuts through is looked at row by row, and only as far as needed.
+    Whole levels are already counted. Only the level that k cuts through is looked at row by row: its rows are
+    counted by hash prefix, and only the prefix that holds the last needed row is ordered.
     """
-    by = list(by)
-    levels = score_levels(df, score, label, by) if levels is None else levels
-    sizes = levels.groupBy(*by).agg(F.sum("n").alias("_total"))
-    sized = levels.join(sizes, by) if by else levels.withColumn("_total", sizes.scalar())
-    at = sized.withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in fractions])))
-    at = at.withColumn("k", alert_count(F.col("_total"), F.col("fraction")))
-    cut = at.where((F.col("n_before") < F.col("k")) & (F.col("k") <= F.col("n_before") + F.col("n")))
-    cut = cut.select(
-        *by, "fraction", "k", "score", "pos", "pos_before", "n", (F.col("k") - F.col("n_before")).alias("need")
-    )
+    by, keys = list(by), [*by, "fraction"]
+    through = cuts.where(F.col("need") < F.col("n")).select(*keys, "score", "need")
     rows = df.select(
         *by, F.col(score).cast("double").alias("score"), F.col(label).cast("bigint").alias("y"),
         F.col(id_column).alias("_id"),
     )
-    # One cut per (group, fraction): a handful of rows meets the scored table here.
-    split_levels = cut.where(F.col("need") < F.col("n")).select(*by, "fraction", "score", "need")
-    ties = rows.join(split_levels, [*by, "score"])
-    first = first_in_hash_order(ties, "_id", "need", by=[*by, "fraction"])
-    partial = first.groupBy(*by, "fraction").agg(F.sum("y").alias("_tie_pos"))
-    hits = F.col("pos_before") + F.coalesce("_tie_pos", "pos")
-    return cut.join(partial, [*by, "fraction"], "left").select(
-        *by, "fraction", "k", (hits / F.col("k").cast("double")).alias("precision")
-    )
+    # A handful of rows, one per group and fraction, meets the scored table here.
+    ties = rows.join(through, [*by, "score"])
+    hits = positives_in_hash_order(ties, "_id", "y", "need", keys)
+    taken = F.col("pos_before") + F.coalesce("hits", "pos")
+    return cuts.join(hits, keys, "left").select(*keys, "k", (taken / F.col("k").cast("double")).alias("precision"))
+
+
+def precision_at(
+    df: DataFrame, score: str, label: str, id_column: str, fractions: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Precision among the top ``fraction`` of rows by score; ties are ordered by a hash of the id."""
+    levels = score_levels(df, score, label, by)
+    cuts = levels.groupBy(*by).agg(cut_levels(fractions).alias("c")).select(*by, F.inline("c"))
+    return precision_from_cuts(cuts.where("k is not null"), df, score, label, id_column, by)
 
 
 def top_rows(df: DataFrame, score: str, id_column: str, n: int) -> DataFrame:

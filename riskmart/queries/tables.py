@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
+from ..config import DEFAULT_SEED, DEFAULT_SPLITS
+from ..operators.cleaning import clean_and_transform
+from ..operators.splitting import assign_hash_split
 
 # Records: one row per order, with a customer as entity, a binary label, a marker column and scores.
 RECORDS = """
@@ -116,10 +119,12 @@ def dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: dimension(spark, folder, key) for name, key in S.DIMENSIONS.items()}
 
 
-def with_roles(sql: str, **roles: str) -> str:
-    """SQL text with the named roles as leading common table expressions."""
-    texts = {"records": RECORDS, "encounters": ENCOUNTERS, "dimension": DIMENSION, **roles}
-    used = [n for n in texts if n in sql]
-    ctes = ",\n".join(f"{n} AS ({plain(texts[n]).strip()})" for n in used)
-    return f"WITH {ctes}\n{sql}" if not sql.lstrip().upper().startswith("WITH ") else (
-        f"WITH {ctes},\n{sql.lstrip()[5:]}")
+def split_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with their leak-free split."""
+    return assign_hash_split(records(spark, folder), "entity", DEFAULT_SEED, DEFAULT_SPLITS)
+
+
+def clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned encounter table with its split."""
+    cleaned = clean_and_transform(encounters(spark, folder), dimensions(spark, folder))
+    return assign_hash_split(cleaned, "patient_nbr", DEFAULT_SEED, DEFAULT_SPLITS)

@@ -19,6 +19,7 @@ def build_session(app_name: str = "riskmart", master: str | None = None, **conf:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no stack capture per column expression
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

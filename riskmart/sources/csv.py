@@ -39,7 +39,8 @@ def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Str
 def write_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True) -> None:
     """Overwriting CSV sink. ``single_file`` is for small tables only: one task writes them."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", header).option("escape", "\\").csv(path)
+    writer = out.write.mode("overwrite").option("header", header).option("escape", "\\")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
