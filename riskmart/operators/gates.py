@@ -98,13 +98,14 @@ def modelling_statistics(df: DataFrame, target: str, floor: int = CLASS_FLOOR) -
 
 
 def split_gates(
-    df: DataFrame, entity: str, target: str, splits: Mapping[str, float], floor: int = CLASS_FLOOR
+    df: DataFrame, entity: str, target: str, splits: Mapping[str, float], floor: int = CLASS_FLOOR,
+    proportion_tolerance: float = PROPORTION_TOLERANCE, prevalence_tolerance: float = PREVALENCE_TOLERANCE,
 ) -> DataFrame:
     """All gates of a split frame in one table."""
     counts = split_counts(df, target, splits)
     parts = [
-        leakage_gate(df, entity), proportion_gate(df, target, splits, counts=counts),
-        class_floor_gate(df, target, floor), prevalence_gate(df, target, splits, counts=counts),
+        leakage_gate(df, entity), proportion_gate(df, target, splits, proportion_tolerance, counts),
+        class_floor_gate(df, target, floor), prevalence_gate(df, target, splits, prevalence_tolerance, counts),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -11,7 +11,9 @@ from .. import schema as S
 from ..config import Settings
 from ..operators.cleaning import clean_and_transform
 from ..operators.features import coerce_for_feature_table
-from ..operators.gates import CLASS_FLOOR, enforce, modelling_statistics, split_counts, split_gates
+from ..operators.gates import (
+    CLASS_FLOOR, PREVALENCE_TOLERANCE, PROPORTION_TOLERANCE, enforce, modelling_statistics, split_counts, split_gates,
+)
 from ..operators.splitting import assign_exact_split, assign_hash_split
 from ..sources.catalog import append_features, check_row_count, write_partitioned
 
@@ -27,7 +29,8 @@ def split_frame(
 
 def run_split_job(
     spark: SparkSession, raw: DataFrame, dimensions: Mapping[str, DataFrame], settings: Settings, table: str,
-    path: str, exact: bool = False, floor: int = CLASS_FLOOR,
+    path: str, exact: bool = False, floor: int = CLASS_FLOOR, proportion_tolerance: float = PROPORTION_TOLERANCE,
+    prevalence_tolerance: float = PREVALENCE_TOLERANCE,
 ) -> dict[str, DataFrame]:
     """Clean, split, check, write. A failed gate raises before anything is written.
 
@@ -36,14 +39,15 @@ def run_split_job(
     """
     frame = split_frame(raw, dimensions, settings, exact).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        gates = enforce(split_gates(frame, "patient_nbr", S.TARGET, settings.splits, floor))
-        passed = spark.createDataFrame(gates.collect(), gates.schema)  # a dozen rows
+        enforce(split_gates(
+            frame, "patient_nbr", S.TARGET, settings.splits, floor, proportion_tolerance, prevalence_tolerance))
         write_partitioned(frame, table, path)
     finally:
         frame.unpersist()
     written = spark.table(table)
     return {
-        "gates": passed,
+        "gates": split_gates(
+            written, "patient_nbr", S.TARGET, settings.splits, floor, proportion_tolerance, prevalence_tolerance),
         "splits": split_counts(written, S.TARGET, settings.splits),
         "modelling": modelling_statistics(written, S.TARGET, floor),
     }

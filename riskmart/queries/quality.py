@@ -8,8 +8,9 @@ from .. import schema as S
 from ..config import DEFAULT_SEED, DEFAULT_SPLITS, Settings
 from ..functions import flag_at, null_markers
 from ..operators import fairness, gates, monitoring as M, ranking
-from ..operators.cleaning import clean_and_transform
+from ..operators.cleaning import binary_target, clean_and_transform
 from ..operators.profiling import group_counts, numeric_statistics, value_counts, value_share
+from ..operators.splitting import assign_hash_split
 from ..plans import features as jobs, monitoring as monitor_jobs
 from ..session import work_path
 from ..streaming.alerts import EventRule, route_events, threshold_alarms
@@ -338,17 +339,33 @@ def _(spark, folder):
     return clean_and_transform(encounters(spark, folder), dimensions(spark, folder)).select(*_FEATURES)
 
 
-@query("z2_split_job", check(f"""
+_EXACT = """ordered AS (SELECT patient_nbr, row_number() OVER (ORDER BY md5('42:' || patient_nbr), patient_nbr) - 1 AS i,
+  count(*) OVER () AS n FROM (SELECT DISTINCT patient_nbr FROM clean)),
+assigned AS (SELECT patient_nbr, CASE WHEN i < floor(CAST(0.4 AS DOUBLE) * n) THEN 'train' WHEN i < floor(CAST(0.5 AS DOUBLE) * n) THEN 'validation'
+  WHEN i < floor(CAST(0.6 AS DOUBLE) * n) THEN 'test' ELSE 'production' END AS part FROM ordered)"""
+
+
+@query("z2_split_job", check(f"""WITH {_EXACT}
 SELECT t.split, CAST(t.target AS DOUBLE) AS target, count(c.encounter_id) AS n, CAST(sum(c.readmit_30) AS BIGINT) AS positives,
   round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clean), 6) AS share, round(avg(c.readmit_30), 6) AS prevalence
-FROM {_SPLIT_VALUES} JOIN clean c ON c.split = t.split GROUP BY t.split, t.target"""))
+FROM {_SPLIT_VALUES} JOIN assigned a ON a.part = t.split JOIN clean c ON c.patient_nbr = a.patient_nbr GROUP BY t.split, t.target"""))
 def _(spark, folder):
     name, path = _table(spark, "model_features")
-    # Gates are relaxed to the row counts of the given tables; the floor follows from the check tables' size.
-    settings = Settings(seed=DEFAULT_SEED, splits=DEFAULT_SPLITS)
-    frame = jobs.split_frame(encounters(spark, folder), dimensions(spark, folder), settings)
-    jobs.write_partitioned(frame, name, path)
-    return rounded(gates.split_counts(spark.table(name), S.TARGET, DEFAULT_SPLITS))
+    # The given tables are samples, so the gates run with a lower floor and wider tolerances than the defaults.
+    reports_ = jobs.run_split_job(
+        spark, encounters(spark, folder), dimensions(spark, folder), Settings(), name, path, exact=True, floor=100,
+        proportion_tolerance=0.1, prevalence_tolerance=0.15)
+    return rounded(reports_["splits"])
+
+
+@query("z2_positive_rate_per_split", """
+WITH kept AS (SELECT o_orderkey, o_custkey, CAST(o_orderstatus = 'F' AS INT) AS label, """ + split_case("o_custkey") + """ AS split FROM orders WHERE o_orderstatus <> 'P')
+SELECT split, count(*) AS n, count(DISTINCT o_custkey) AS n_entities, round(avg(label), 6) AS positive_rate FROM kept GROUP BY split""")
+def _(spark, folder):
+    df = table(spark, folder, "orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderstatus")
+    labelled = assign_hash_split(binary_target(df, "o_orderstatus", "F", "label"), "o_custkey", DEFAULT_SEED, DEFAULT_SPLITS)
+    return rounded(labelled.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("n_entities"), F.avg("label").alias("positive_rate")))
 
 
 @query("z3_feature_job", check("""
