@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schema import AGE_BANDS
-from .nulls import text
+from .nulls import name, text
 from .numeric import double_sql, trimmed_sql
 
 # ICD-9 groups as (label, low, high, symptom code); both ends closed, first match wins.
@@ -20,9 +22,12 @@ DIAGNOSIS_RANGES = [
 ]
 
 
-def diagnosis_group(operand: str) -> Column:
-    """Ten-label group of an ICD-9 code. Range ends apply to the decimal value, so 459.81 is ``Other``."""
-    clean, value = trimmed_sql(operand), double_sql(operand)
+def diagnosis_group(operand: str, number: str | None = None) -> Column:
+    """Ten-label group of an ICD-9 code. Range ends apply to the decimal value, so 459.81 is ``Other``.
+
+    ``number`` names a column that already holds the parsed code; without it the code is parsed in every branch.
+    """
+    clean, value = trimmed_sql(operand), number or double_sql(operand)
     whens = [
         f"WHEN {operand} IS NULL THEN 'Missing'",
         f"WHEN left({clean}, 1) IN ('V', 'E') THEN 'Other'",
@@ -36,6 +41,13 @@ def diagnosis_group(operand: str) -> Column:
     return F.expr(f"CASE {' '.join(whens)} ELSE 'Other' END")
 
 
+def with_diagnosis_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``<column>_group`` for each code column, parsing every code once."""
+    parsed = df.select("*", *[F.expr(f"{double_sql(c)} AS _number_{c}") for c in columns])
+    groups = [diagnosis_group(c, f"_number_{c}").alias(f"{c}_group") for c in columns]
+    return parsed.select(*[name(c) for c in df.columns], *groups)
+
+
 def age_ordinal(operand: str) -> Column:
     """Position of an age band, NULL when the band is unknown."""
     whens = " ".join(f"WHEN {text(band)} THEN {i}" for i, band in enumerate(AGE_BANDS))

@@ -37,8 +37,9 @@ def lenient_double(operand: str) -> Column:
 def strict_bigint(operand: str, label: str = "value") -> Column:
     """Integer value of a text number, decimals truncated; fails the job on bad text or NULL."""
     clean = trimmed_sql(operand)
+    # Plain integers take the first branch. A failing try_cast costs far more than a pattern, so none is tried.
     return F.expr(
-        f"CASE WHEN {clean} RLIKE {text(INTEGER_PATTERN)} THEN CAST({clean} AS BIGINT) "
+        f"CASE WHEN {operand} RLIKE {text(INTEGER_PATTERN)} THEN CAST({operand} AS BIGINT) "
         f"WHEN {clean} RLIKE {text(NUMBER_PATTERN)} THEN CAST(CAST({clean} AS DOUBLE) AS BIGINT) "
         f"ELSE CAST(raise_error(concat({text(label + ': not a number: ')}, coalesce({clean}, 'NULL'))) AS BIGINT) END"
     )
@@ -47,7 +48,8 @@ def strict_bigint(operand: str, label: str = "value") -> Column:
 def null_safe_sum(operands: Sequence[str], as_type: str = "double") -> Column:
     """Sum in which unparseable and NULL terms count as zero."""
     zero = f"CAST(0 AS {as_type})"
-    return F.expr(" + ".join(f"coalesce(CAST({double_sql(o)} AS {as_type}), {zero})" for o in operands) or zero)
+    terms = [f"coalesce(CAST({double_sql(o)} AS {as_type}), {zero})" for o in operands]
+    return F.expr(" + ".join(terms) or zero)
 
 
 def clip_upper(operand: str, upper: str | float) -> Column:

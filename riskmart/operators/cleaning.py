@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
 from ..functions import (
-    absence_flag, age_ordinal, count_in, count_not_equal, diagnosis_group, lenient_double, null_markers,
-    null_safe_sum, or_else, presence_flag, strict_bigint,
+    absence_flag, age_ordinal, count_in, count_not_equal, lenient_double, null_markers, null_safe_sum, or_else,
+    presence_flag, strict_bigint, with_diagnosis_groups,
 )
 from ..functions.nulls import name, quoted
 from .decoding import decode
@@ -69,7 +69,7 @@ def normalise_names(df: DataFrame) -> DataFrame:
 
 
 def derive_encounter_features(df: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """All derived encounter columns in one projection, then the three description lookups."""
+    """All derived encounter columns in one wide projection, then the three description lookups."""
     drugs = [c for c in S.DRUG_COLUMNS if c in df.columns]
     drug_cells = [name(c) for c in drugs]
     replaced = {
@@ -79,9 +79,9 @@ def derive_encounter_features(df: DataFrame, dimensions: dict[str, DataFrame]) -
     }
     dropped = [c for c in drugs if c not in S.KEPT_DRUGS]
     kept = [replaced[c].alias(c) if c in replaced else name(c) for c in df.columns if c not in dropped]
-    wide = df.select(
+    wide = with_diagnosis_groups(df, S.DIAGNOSIS_COLUMNS).select(
         *kept,
-        *[diagnosis_group(c).alias(f"{c}_group") for c in S.DIAGNOSIS_COLUMNS],
+        *[f"{c}_group" for c in S.DIAGNOSIS_COLUMNS],
         age_ordinal("age").alias("age_ordinal"),
         count_in(drug_cells, ["Up", "Down"]).alias("n_med_changes"),
         count_not_equal(drug_cells, "No").alias("n_diabetes_meds"),

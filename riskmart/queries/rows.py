@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schema as S
 from ..config import DEFAULT_SEED, DEFAULT_SPLITS
 from ..functions import (
-    absence_flag, age_ordinal, alert_count, clip_upper, count_in, count_not_equal, diagnosis_group, fixed_decimals,
+    absence_flag, age_ordinal, alert_count, clip_upper, count_in, count_not_equal, fixed_decimals,
     flag_at, lenient_double, null_markers, null_safe_sum, null_tokens, or_else, platt, presence_flag, recode,
-    strict_bigint,
+    strict_bigint, with_diagnosis_groups,
 )
 from ..functions.nulls import name
 from ..operators import cleaning, decoding, features, gates
@@ -131,8 +131,8 @@ def _(spark, folder):
 SELECT encounter_id, {group_case("nullif(diag_1, '?')")} AS diag_1_group, {group_case("nullif(diag_2, '?')")} AS diag_2_group,
        {group_case("nullif(diag_3, '?')")} AS diag_3_group FROM encounters"""))
 def _(spark, folder):
-    return null_markers(encounters(spark, folder)).select(
-        "encounter_id", *[diagnosis_group(c).alias(f"{c}_group") for c in S.DIAGNOSIS_COLUMNS])
+    coded = with_diagnosis_groups(null_markers(encounters(spark, folder)), S.DIAGNOSIS_COLUMNS)
+    return coded.select("encounter_id", *[f"{c}_group" for c in S.DIAGNOSIS_COLUMNS])
 
 
 @query("c2_age_ordinal", check(f"""

@@ -12,6 +12,7 @@ from .. import schema as S
 from ..config import DEFAULT_SEED, DEFAULT_SPLITS
 from ..operators.cleaning import clean_and_transform
 from ..operators.splitting import assign_hash_split
+from ..session import work_path
 
 # Records: one row per order, with a customer as entity, a binary label, a marker column and scores.
 RECORDS = """
@@ -107,8 +108,18 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     return role(spark, folder, RECORDS)
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
 def encounters(spark: SparkSession, folder: str) -> DataFrame:
-    return role(spark, folder, ENCOUNTERS)
+    """The raw encounter table, landed once per session in the shared folder the way raw files arrive."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _landed:
+        path = work_path(spark, "raw-encounters")
+        rows = role(spark, folder, ENCOUNTERS)
+        rows.repartition(spark.sparkContext.defaultParallelism, "encounter_id").write.parquet(path)
+        _landed[key] = path
+    return spark.read.schema(S.ENCOUNTERS).parquet(_landed[key])
 
 
 def dimension(spark: SparkSession, folder: str, key: str = "dim_id") -> DataFrame:
