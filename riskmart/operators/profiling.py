@@ -154,7 +154,8 @@ def clipped_histogram(df: DataFrame, column: str, q: float = 0.99, bins: int = 3
     edges = levels.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("e")).scalar()
     lo, hi = F.col("_edges.lo"), F.col("_edges.hi")
     place = F.floor(F.try_divide((F.col("x") - lo) * F.lit(float(bins)), hi - lo))
-    bin_id = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(bins // 2))  # middle bin when all values are equal
+    last_closed = F.when(place.isNotNull(), F.least(place, F.lit(bins - 1)))
+    bin_id = F.coalesce(last_closed, F.lit(bins // 2))  # middle bin when all values are equal
     counted = levels.withColumn("_edges", edges).groupBy(bin_id.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(counted, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))

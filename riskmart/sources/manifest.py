@@ -32,7 +32,7 @@ def manifest(spark: SparkSession, paths: list[str], ingested_at: str) -> DataFra
     """``filename, path, length, sha256, row_count, ingested_at``, one row per file.
 
     ``row_count`` is the number of physical lines less one header line. Listing reads no content; checksums run one
-    file per task; line counting splits large files.
+    file per task; line counting splits large files. Zero-byte files hold no header and are not listed.
     """
     files = spark.read.format("binaryFile").load(paths).select("path", "length")
     tasks = files.select("path").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
