@@ -2,9 +2,8 @@
 
 Three building blocks serve every ranking operator:
 
-* ``running_totals``: sums of everything ordered before each key. Keys are split into value ranges, each range is
-  one window partition, and a second window over the per-range totals (at most one row per range) supplies the
-  offsets.
+* ``running_totals``: sums of everything ordered before each key. Keys are split into pieces of value ranges, each
+  piece is one window partition, and a second window over the totals per piece supplies the offsets.
 * ``first_in_hash_order``: the first *n* rows of a group when rows are ordered by a hash of their id. The hash is
   uniform, so its leading digits cut even a huge group of ties into equal pieces.
 * ``hash_cutoffs``: the hash values at given positions of that order.
@@ -35,24 +34,47 @@ def hash_fraction(key: Column) -> Column:
     return F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+# Quantile ranges found by the sketch, and equal-width pieces per range: together up to 25,600 pieces, which is also the
+# bound of the window over piece totals.
+MAX_RANGES = 400
+PIECES_PER_RANGE = 64
+# Group counts up to this are joined by broadcast.
+FEW_GROUPS = 1000
+
+
 def value_ranges(df: DataFrame, key: str, ranges: int | None = None) -> list[float]:
     """Range bounds that spread the rows of ``df`` evenly, from a distributed quantile sketch.
 
     The bounds decide only how the work is spread, never the result.
     """
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if ranges < 2:
-        return []
-    probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(key, probabilities, 20 * ranges)).first()[0] or []
+    ranges = min(ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    cuts = df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
     return sorted(set(cuts))
 
 
+def few_groups(df: DataFrame, by: Sequence[str]) -> bool:
+    """Whether a table with one row per group is small enough to broadcast, counted on the data."""
+    if not by:
+        return True
+    return df.agg(F.approx_count_distinct(F.struct(*by)).alias("n")).first()["n"] <= FEW_GROUPS
+
+
+def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def _with_range(df: DataFrame, key: str, cuts: Sequence[float]) -> DataFrame:
+    """Add ``_range``: the quantile range of the key and the equal-width piece inside it; never falls as keys rise."""
     if not cuts:
-        return df.withColumn("_range", F.lit(0.0))
+        return df.withColumn("_range", F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol=key, outputCol="_range").transform(df)
+    coarse = Bucketizer(splits=splits, inputCol=key, outputCol="_coarse").transform(df)
+    index = F.col("_coarse").cast("int")
+    bounds = F.array(*[F.lit(c) for c in cuts])
+    low, high = F.get(bounds, index - 1), F.get(bounds, index)
+    piece = F.floor((F.col(key) - low) / (high - low) * PIECES_PER_RANGE)
+    piece = F.when(low.isNull() | high.isNull(), F.lit(0)).otherwise(F.least(piece, F.lit(PIECES_PER_RANGE - 1)))
+    return coarse.withColumn("_range", index * PIECES_PER_RANGE + piece.cast("int")).drop("_coarse")
 
 
 def running_totals(
@@ -77,7 +99,7 @@ def running_totals(
         window = Window.partitionBy(*within).orderBy(direction(order))
         return F.coalesce(F.sum(total).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    # One row per range: bounded by the number of ranges, whatever the data size.
+    # One row per piece and group, whatever the data size.
     offsets = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(s) for s in sums])
     group = Window.partitionBy(*by)
     offsets = offsets.select(
@@ -117,18 +139,20 @@ def first_in_hash_order(
     reached = _prefix_totals(keyed, by, [need]).where(F.col("_before") < F.col(need)).select(*by, "_prefix", "_before")
     position = F.row_number().over(Window.partitionBy(*by, "_prefix").orderBy("_hash", id_column))
     return (
-        keyed.join(reached, [*by, "_prefix"])
+        keyed.join(_maybe_broadcast(reached, not by), [*by, "_prefix"])  # at most 65,536 rows without groups
         .withColumn("_position", F.col("_before") + position)
         .where(F.col("_position") <= F.col(need))
         .select(*df.columns)
     )
 
 
-def positives_in_hash_order(df: DataFrame, id_column: str, flag: str, need: str, by: Sequence[str]) -> DataFrame:
+def positives_in_hash_order(
+    df: DataFrame, id_column: str, flag: str, need: str, by: Sequence[str], few: bool = False
+) -> DataFrame:
     """Sum of ``flag`` over the first ``need`` rows of each group in (hash of id, id) order: ``by..., hits``.
 
     Prefixes wholly inside the first rows are summed as counts; rows are ordered only inside the one prefix per
-    group that is cut.
+    group that is cut. ``few`` says that the number of groups was checked to be small.
     """
     by = list(by)
     keyed = _with_prefix(df, id_column, None)
@@ -141,7 +165,7 @@ def positives_in_hash_order(df: DataFrame, id_column: str, flag: str, need: str,
     whole = pieces.where(inside).groupBy(*by).agg(F.sum("_flags").alias("_whole"))
     cut = pieces.where(~inside).select(*by, "_prefix", (F.col("_need") - F.col("_before")).alias("_left"))
     position = F.row_number().over(Window.partitionBy(*by).orderBy("_hash", id_column))
-    part = keyed.join(cut, [*by, "_prefix"]).withColumn("_position", position)
+    part = keyed.join(_maybe_broadcast(cut, few), [*by, "_prefix"]).withColumn("_position", position)
     part = part.where(F.col("_position") <= F.col("_left")).groupBy(*by).agg(F.sum(flag).alias("_part"))
     hits = F.coalesce("_whole", F.lit(0)) + F.coalesce("_part", F.lit(0))
     return whole.join(part, by, "full").select(*by, hits.alias("hits"))
@@ -167,7 +191,8 @@ def hash_cutoffs(entities: DataFrame, id_column: str, fractions: Sequence[float]
     inside = lambda w: (w["position"] >= F.col("_before")) & (w["position"] < F.col("_before") + F.col("_n"))
     hit = counts.withColumn("_total", total).select("_prefix", "_before", F.explode(F.filter(wanted, inside)).alias("w"))
     hit = hit.select("_prefix", F.col("w.cut").alias("_cut"), (F.col("w.position") - F.col("_before") + 1).alias("_nth"))
-    ranked = keyed.join(hit, "_prefix").withColumn(
+    # One row per cut.
+    ranked = keyed.join(F.broadcast(hit), "_prefix").withColumn(
         "_rank", F.row_number().over(Window.partitionBy("_cut").orderBy("_hash", id_column))
     )
     cuts = ranked.where(F.col("_rank") == F.col("_nth")).groupBy("_cut").agg(F.max("_hash").alias("_hash"))

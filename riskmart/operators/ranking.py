@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import alert_count
-from .ordering import positives_in_hash_order, running_totals, value_ranges
+from .ordering import few_groups, positives_in_hash_order, running_totals, value_ranges
 
 
 def score_levels(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -80,9 +80,11 @@ def precision_from_cuts(
         *by, F.col(score).cast("double").alias("score"), F.col(label).cast("bigint").alias("y"),
         F.col(id_column).alias("_id"),
     )
-    # A handful of rows, one per group and fraction, meets the scored table here.
-    ties = rows.join(through, [*by, "score"])
-    hits = positives_in_hash_order(ties, "_id", "y", "need", keys)
+    # One row per group and fraction meets the scored table. With few groups it is broadcast, so the scored table is
+    # filtered in place; with many, both sides are shuffled and AQE splits hot scores.
+    few = few_groups(df, by)
+    ties = rows.join(F.broadcast(through) if few else through, [*by, "score"])
+    hits = positives_in_hash_order(ties, "_id", "y", "need", keys, few)
     taken = F.col("pos_before") + F.coalesce("hits", "pos")
     return cuts.join(hits, keys, "left").select(*keys, "k", (taken / F.col("k").cast("double")).alias("precision"))
 

@@ -351,10 +351,10 @@ SELECT t.split, CAST(t.target AS DOUBLE) AS target, count(c.encounter_id) AS n,
 FROM {_SPLIT_VALUES} JOIN assigned a ON a.part = t.split JOIN clean c ON c.patient_nbr = a.patient_nbr GROUP BY t.split, t.target"""))
 def _(spark, folder):
     name, path = _table(spark, "model_features")
-    # The given tables are samples, so the gates run with a lower floor and wider tolerances than the defaults.
+    # The given tables are samples with down to a hundred rows per split: lower floor, wider tolerances than the defaults.
     reports_ = jobs.run_split_job(
         spark, encounters(spark, folder), dimensions(spark, folder), Settings(), name, path, exact=True, floor=100,
-        proportion_tolerance=0.1, prevalence_tolerance=0.15)
+        proportion_tolerance=0.25, prevalence_tolerance=0.25)
     return rounded(reports_["splits"])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -47,12 +48,11 @@ def read_partition(spark: SparkSession, table: str, value: str, partition: str =
 
 def append_features(df: DataFrame, table: str, path: str, event_time: float) -> None:
     """Append prepared rows with the system columns, partitioned by event date; one atomic commit per call."""
+    written = F.timestamp_micros(F.lit(int(event_time * 1_000_000)))
     stamped = df.select(
         *[quoted(c) for c in df.columns],
-        F.timestamp_micros(F.lit(int(event_time * 1_000_000))).alias("write_time"),
-        F.timestamp_micros(F.lit(int(event_time * 1_000_000))).alias("api_invocation_time"),
-        F.lit(False).alias("is_deleted"),
-        F.to_date(F.timestamp_micros(F.lit(int(event_time * 1_000_000)))).alias("event_date"),
+        written.alias("write_time"), written.alias("api_invocation_time"), F.lit(False).alias("is_deleted"),
+        F.lit(datetime.fromtimestamp(event_time, timezone.utc).date()).alias("event_date"),
     )
     stamped.write.mode("append").partitionBy("event_date").format("parquet").option("path", path).saveAsTable(table)
 
