@@ -1,7 +1,7 @@
 """Encoders, learners, calibration, the bundle, and the jobs built on them.
 
-Learners have no SQL twin, so most entries here carry no SQL text; their numbers are tested against independent
-arithmetic on fixtures instead. Iteration counts are small because these are checks, not tuned models.
+Small linear fits are checked against Newton's method written in SQL. Larger learners have no SQL twin; their numbers
+are tested against independent arithmetic on fixtures. Iteration counts are small because these are checks, not tuned models.
 """
 
 from __future__ import annotations
@@ -83,7 +83,32 @@ def _(spark, folder):
     return rounded(ranking_metrics(M.add_score(test, model), "score", S.TARGET))
 
 
-@query("m4_two_feature_logistic")
+# Newton's method for the same penalised objective, over cells of equal features.
+_NEWTON_2 = """
+SELECT round(w1, 4) AS w1, round(w2, 4) AS w2, round(b, 4) AS intercept FROM (
+WITH RECURSIVE cells AS (SELECT CAST(number_inpatient AS DOUBLE) AS x1, CAST(number_emergency AS DOUBLE) AS x2, CAST(count(*) AS DOUBLE) AS n,
+  CAST(sum(readmit_30) AS DOUBLE) AS pos FROM clean WHERE split = 'train' GROUP BY 1, 2),
+fit AS (SELECT 0 AS i, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2, CAST(0 AS DOUBLE) AS b
+UNION ALL
+SELECT i + 1, w1 - ((h22 * h33 - h23 * h23) * g1 + (h13 * h23 - h12 * h33) * g2 + (h12 * h23 - h13 * h22) * g3) / det,
+  w2 - ((h13 * h23 - h12 * h33) * g1 + (h11 * h33 - h13 * h13) * g2 + (h12 * h13 - h11 * h23) * g3) / det,
+  b - ((h12 * h23 - h13 * h22) * g1 + (h12 * h13 - h11 * h23) * g2 + (h11 * h22 - h12 * h12) * g3) / det
+FROM (SELECT *, h11 * (h22 * h33 - h23 * h23) - h12 * (h12 * h33 - h13 * h23) + h13 * (h12 * h23 - h13 * h22) AS det FROM (
+  SELECT i, w1, w2, b, sum(x1 * (n * p - pos)) + w1 AS g1, sum(x2 * (n * p - pos)) + w2 AS g2, sum(n * p - pos) AS g3,
+    sum(n * p * (1 - p) * x1 * x1) + 1 AS h11, sum(n * p * (1 - p) * x1 * x2) AS h12, sum(n * p * (1 - p) * x1) AS h13,
+    sum(n * p * (1 - p) * x2 * x2) + 1 AS h22, sum(n * p * (1 - p) * x2) AS h23, sum(n * p * (1 - p)) AS h33
+  FROM (SELECT *, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p FROM fit, cells WHERE i < 15) GROUP BY i, w1, w2, b)))
+SELECT * FROM fit WHERE i = 15)"""
+
+
+@query("m4_two_feature_logistic", check(_NEWTON_2))
+def _(spark, folder):
+    train = features(spark, folder, "train")
+    weights, intercept = M.coefficients(M.fit_plain_logistic(train, jobs.BENCHMARK_FEATURES, S.TARGET))
+    return spark.createDataFrame([(round(weights[0], 4), round(weights[1], 4), round(intercept, 4))], "w1 double, w2 double, intercept double")
+
+
+@query("m4_two_feature_logistic_metrics")
 def _(spark, folder):
     train, validation = features(spark, folder, "train"), features(spark, folder, "validation")
     model = M.fit_plain_logistic(train, jobs.BENCHMARK_FEATURES, S.TARGET)
@@ -128,7 +153,25 @@ def _(spark, folder):
     return trials
 
 
-@query("m9_platt_fit")
+_NEWTON_1 = """
+SELECT round(w, 4) AS slope, round(b, 4) AS intercept FROM (
+WITH RECURSIVE cells AS (SELECT coarse_score AS x, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS pos FROM records GROUP BY 1),
+fit AS (SELECT 0 AS i, CAST(0 AS DOUBLE) AS w, CAST(0 AS DOUBLE) AS b
+UNION ALL
+SELECT i + 1, w - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+FROM (SELECT i, w, b, sum(x * (n * p - pos)) + w AS g1, sum(n * p - pos) AS g2, sum(n * p * (1 - p) * x * x) + 1 AS h11,
+    sum(n * p * (1 - p) * x) AS h12, sum(n * p * (1 - p)) AS h22
+  FROM (SELECT *, 1 / (1 + exp(-(w * x + b))) AS p FROM fit, cells WHERE i < 15) GROUP BY i, w, b))
+SELECT * FROM fit WHERE i = 15)"""
+
+
+@query("m9_platt_fit", check(_NEWTON_1))
+def _(spark, folder):
+    a, b = M.fit_platt(records(spark, folder).select("coarse_score", "label"), "coarse_score", "label")
+    return spark.createDataFrame([(round(a, 4), round(b, 4))], "slope double, intercept double")
+
+
+@query("m9_calibrated_scores")
 def _(spark, folder):
     train, validation = features(spark, folder, "train"), features(spark, folder, "validation")
     model = M.fit_boosted(train, _schema(train, _SOME), S.TARGET, SMALL)
@@ -171,6 +214,17 @@ def _(spark, folder):
     return bundle.score(features(spark, folder, "production"), "encounter_id", [S.TARGET])
 
 
+@query("j5_scores_stay_with_their_rows", check("""
+SELECT number_inpatient, number_emergency, count(DISTINCT encounter_id) AS n, CAST(1 AS BIGINT) AS n_scores FROM clean WHERE split = 'production' GROUP BY 1, 2"""))
+def _(spark, folder):
+    # The model reads two counters only, so rows with equal counters must get one score whatever their identifier.
+    model = M.fit_plain_logistic(features(spark, folder, "train"), jobs.BENCHMARK_FEATURES, S.TARGET)
+    production = features(spark, folder, "production")
+    scored = M.add_score(production, model).select("encounter_id", "score")
+    return production.join(scored, "encounter_id").groupBy(*jobs.BENCHMARK_FEATURES).agg(
+        F.countDistinct("encounter_id").alias("n"), F.countDistinct("score").alias("n_scores"))
+
+
 @query("j5_identifier_rides_along")
 def _(spark, folder):
     train = features(spark, folder, "train")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..functions import DEFAULT_NULL_TOKENS, null_tokens
 from ..functions.nulls import quoted
@@ -49,10 +49,3 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
         result = result.unionByName(frame)
     return result
 
-
-def literal_nulls_as_text(df: DataFrame, text: str) -> DataFrame:
-    """Spell NULL as ``text`` in string columns, for formats that cannot hold NULL."""
-    return df.select(*[
-        F.coalesce(quoted(f.name), F.lit(text)).alias(f.name) if isinstance(f.dataType, T.StringType)
-        else quoted(f.name) for f in df.schema.fields
-    ])

@@ -38,6 +38,8 @@ def markdown_lines(df: DataFrame, order: str) -> DataFrame:
 
 
 def save_comparison(table: DataFrame, folder: str, order: str = "model") -> None:
-    """The comparison table (one row per model) as CSV and as Markdown."""
-    table.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/model_comparison_csv")
-    markdown_lines(table, order).select("line").coalesce(1).write.mode("overwrite").text(f"{folder}/model_comparison_md")
+    """The comparison table (one row per model) as CSV, and from that file as Markdown."""
+    path = f"{folder}/model_comparison_csv"
+    table.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    written = table.sparkSession.read.schema(table.schema).option("header", True).csv(path)
+    markdown_lines(written, order).select("line").coalesce(1).write.mode("overwrite").text(f"{folder}/model_comparison_md")
