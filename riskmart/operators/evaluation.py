@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialise
 from .profiling import column_values, exact_quantiles
 from .ranking import cut_levels, level_metrics, level_sums, precision_from_cuts, score_levels
 
@@ -88,12 +89,13 @@ def full_metrics(
     def total(c: Column, when: Column) -> Column:
         return F.coalesce(F.sum(F.when(when, c)), F.lit(0))
 
-    summary = at.groupBy(*by).agg(
+    # One row per group, written once: three tables below read it, the levels behind it are computed once.
+    summary = materialise(at.groupBy(*by).agg(
         F.max("threshold").alias("threshold"),
         total(neg, ~flagged).alias("tn"), total(neg, flagged).alias("fp"),
         total(F.col("pos"), ~flagged).alias("fn"), total(F.col("pos"), flagged).alias("tp"),
         *level_sums(), cut_levels(list(METRIC_FRACTIONS.values())).alias("_cuts"),
-    )
+    ), "summary")
     cuts = summary.select(*by, F.inline("_cuts")).where("k is not null")
     at_k = precision_from_cuts(cuts, df, score, label, id_column, by).groupBy(*by).agg(*[
         F.max(F.when(F.col("fraction") == F.lit(f), F.col("precision"))).alias(name)

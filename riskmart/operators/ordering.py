@@ -38,8 +38,6 @@ def hash_fraction(key: Column) -> Column:
 # bound of the window over piece totals.
 MAX_RANGES = 400
 PIECES_PER_RANGE = 64
-# Group counts up to this are joined by broadcast.
-FEW_GROUPS = 1000
 
 
 def value_ranges(df: DataFrame, key: str, ranges: int | None = None) -> list[float]:
@@ -52,13 +50,6 @@ def value_ranges(df: DataFrame, key: str, ranges: int | None = None) -> list[flo
     return sorted(set(cuts))
 
 
-def few_groups(df: DataFrame, by: Sequence[str]) -> bool:
-    """Whether a table with one row per group is small enough to broadcast, counted on the data."""
-    if not by:
-        return True
-    return df.agg(F.approx_count_distinct(F.struct(*by)).alias("n")).first()["n"] <= FEW_GROUPS
-
-
 def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 

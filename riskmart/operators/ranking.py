@@ -11,7 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import alert_count
-from .ordering import few_groups, positives_in_hash_order, running_totals, value_ranges
+from ..session import materialise
+from .ordering import positives_in_hash_order, running_totals, value_ranges
+
+# Cut levels up to this count are broadcast; they are counted first.
+FEW_CUTS = 10_000
 
 
 def score_levels(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -69,24 +73,27 @@ def cut_levels(fractions: Sequence[float]) -> Column:
 def precision_from_cuts(
     cuts: DataFrame, df: DataFrame, score: str, label: str, id_column: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """``by..., fraction, k, precision`` from one row per (group, fraction) of ``cut_levels``.
+    """``by..., fraction, k, precision`` from the materialised rows of ``cut_levels``, one per group and fraction.
 
-    Whole levels are already counted. Only the level that k cuts through is looked at row by row: its rows are
+    Whole levels are already counted. Only a level that k cuts through is looked at row by row: its rows are
     counted by hash prefix, and only the prefix that holds the last needed row is ordered.
     """
     by, keys = list(by), [*by, "fraction"]
+    ratio = lambda hits: (hits / F.col("k").cast("double")).alias("precision")
     through = cuts.where(F.col("need") < F.col("n")).select(*keys, "score", "need")
+    n_cuts = through.count()
+    if n_cuts == 0:
+        return cuts.select(*keys, "k", ratio(F.col("pos_before") + F.col("pos")))
+    few = n_cuts <= FEW_CUTS
     rows = df.select(
         *by, F.col(score).cast("double").alias("score"), F.col(label).cast("bigint").alias("y"),
         F.col(id_column).alias("_id"),
     )
-    # One row per group and fraction meets the scored table. With few groups it is broadcast, so the scored table is
-    # filtered in place; with many, both sides are shuffled and AQE splits hot scores.
-    few = few_groups(df, by)
+    # Few cuts are broadcast, so the scored table is filtered in place; many are shuffled and AQE splits hot scores.
     ties = rows.join(F.broadcast(through) if few else through, [*by, "score"])
     hits = positives_in_hash_order(ties, "_id", "y", "need", keys, few)
     taken = F.col("pos_before") + F.coalesce("hits", "pos")
-    return cuts.join(hits, keys, "left").select(*keys, "k", (taken / F.col("k").cast("double")).alias("precision"))
+    return cuts.join(hits, keys, "left").select(*keys, "k", ratio(taken))
 
 
 def precision_at(
@@ -95,7 +102,8 @@ def precision_at(
     """Precision among the top ``fraction`` of rows by score; ties are ordered by a hash of the id."""
     levels = score_levels(df, score, label, by)
     cuts = levels.groupBy(*by).agg(cut_levels(fractions).alias("c")).select(*by, F.inline("c"))
-    return precision_from_cuts(cuts.where("k is not null"), df, score, label, id_column, by)
+    cuts = materialise(cuts.where("k is not null"), "cuts")
+    return precision_from_cuts(cuts, df, score, label, id_column, by)
 
 
 def top_rows(df: DataFrame, score: str, id_column: str, n: int) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions import flag_at, null_markers
 from ..operators import attribution, cleaning, evaluation as E, fairness, gates, ordering, profiling as P, ranking, worklist
 from ..operators.splitting import modelling_rows
 from ..plans.evaluation import heuristic
+from ..session import materialise
 from ..sources.csv import union_by_name
 from .registry import query
 from .sql import check, split_case
@@ -358,7 +359,7 @@ SELECT round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc, round(brier_sco
   round(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0), 6) AS recall_at_threshold, round(threshold, 6) AS threshold, tn, fp, fn, tp
 FROM flat JOIN auc USING (split)"""))
 def _(spark, folder):
-    df = split_records(spark, folder)
+    df = materialise(split_records(spark, folder).select("id", "label", "score", "split"), "scored")
     threshold = E.alert_volume_threshold(df.where("split = 'validation'"), "score", 0.10)
     return rounded(E.full_metrics(df.where("split = 'test'"), "score", "label", "id", threshold))
 
@@ -409,8 +410,8 @@ SELECT model, round(pr_auc, 4) AS pr_auc, round(roc_auc, 4) AS roc_auc, round(p1
   round(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0), 4) AS recall_at_thr, round(brier_score, 4) AS brier FROM flat JOIN auc USING (model)"""))
 def _(spark, folder):
     df = heuristic(split_records(spark, folder), "counter", 1, "rule").withColumn("constant", F.lit(0.25))
-    long = lambda part: E.score_columns_to_rows(df.where(F.col("split") == part), _MODELS, ["id", "label"])
-    return E.comparison_table(long("validation"), long("test"), "label", "id")
+    scored = materialise(E.score_columns_to_rows(df, _MODELS, ["id", "label", "split"]), "scored")
+    return E.comparison_table(scored.where("split = 'validation'"), scored.where("split = 'test'"), "label", "id")
 
 
 # --- fairness -----------------------------------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from ..operators import decoding, monitoring, worklist
 from ..operators.evaluation import comparison_table, score_columns_to_rows
 from ..operators.features import coerce_for_feature_table
 from ..sources import catalog, csv, manifest as M, reports, stacked
-from ..session import work_path
+from ..session import materialise, work_path
 from .aggregates import _FULL, _LEVELS, rounded
 from .registry import query
 from .sql import check
@@ -205,9 +205,11 @@ def _(spark, folder):
 t AS (SELECT row_number() OVER (ORDER BY model) AS line_no, '| ' || model || ' | ' || printf('%.4f', pr_auc) || ' | ' || printf('%.4f', roc_auc) || ' |' AS line FROM flat JOIN auc USING (model))
 SELECT * FROM t UNION ALL SELECT -1, '| --- | --- | --- |' UNION ALL SELECT -2, '| model | pr_auc | roc_auc |'"""))
 def _(spark, folder):
-    df, path = split_records(spark, folder), work_path(spark, "comparison")
-    long = lambda part: score_columns_to_rows(df.where(F.col("split") == part), {"fine": "score", "coarse": "coarse_score"}, ["id", "label"])
-    reports.save_comparison(comparison_table(long("validation"), long("test"), "label", "id"), path)
+    path = work_path(spark, "comparison")
+    scored = materialise(score_columns_to_rows(
+        split_records(spark, folder), {"fine": "score", "coarse": "coarse_score"}, ["id", "label", "split"]), "scored")
+    reports.save_comparison(
+        comparison_table(scored.where("split = 'validation'"), scored.where("split = 'test'"), "label", "id"), path)
     back = spark.read.schema("model string, pr_auc double, roc_auc double").option("header", True).csv(f"{path}/model_comparison_csv")
     four = back.select("model", *[F.format_string("%.4f", F.col(c)).alias(c) for c in ("pr_auc", "roc_auc")])
     return reports.markdown_lines(four, "model")

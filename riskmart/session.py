@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "riskmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,3 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one written intermediate."""
     return f"{shared_folder(spark)}/riskmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Compute once: write to the shared folder and read back, with sizes the planner can see."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -42,7 +42,8 @@ def read_stacked(spark: SparkSession, path: str, tables: Mapping[str, Sequence[s
     Only the empty cell is NULL; the text ``NULL`` stays text.
     """
     parsed = sections(numbered_lines(spark, path))
-    headers = {r["section"]: r["line"] for r in parsed.where("row = 0").select("section", "line").collect()}
+    firsts = parsed.where("row = 0").orderBy("section").limit(len(tables) + 1).select("section", "line").collect()
+    headers = {r["section"]: r["line"] for r in firsts}
     if len(headers) != len(tables):
         raise StackedFileError(f"expected {len(tables)} stacked tables, found {len(headers)}")
     result = {}
