@@ -9,7 +9,9 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+)
 from pyspark.ml.feature import (
     ElementwiseProduct, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
 )
@@ -18,6 +20,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import flag_at, platt
+from ..session import shared_folder
 from .cleaning import check_features
 from .ranking import ranking_metrics
 
@@ -131,31 +134,60 @@ def coefficients(model: PipelineModel) -> tuple[list[float], float]:
     return [float(w) for w in fitted.coefficients], float(fitted.intercept)
 
 
-def fit_boosted(
-    train: DataFrame, schema: FeatureSchema, target: str, params: Mapping[str, float] | None = None,
-    validation: DataFrame | None = None, seed: int = 42, validation_tolerance: float = 0.001,
-) -> PipelineModel:
-    """Gradient-boosted trees with logistic loss; stops early on validation loss when a validation frame is given."""
-    p = {**DEFAULT_BOOSTING, **(params or {})}
-    fitted_encoder = encoder(schema).fit(train)
-    most = max([len(v) for v in category_levels(fitted_encoder).values()] or [0])
+def fit_encoder(train: DataFrame, schema: FeatureSchema) -> PipelineModel:
+    """Encoder fitted on train; refuses columns with too many levels."""
+    fitted = encoder(schema).fit(train)
+    most = most_levels(fitted)
     if most > MAX_CATEGORIES:
         raise ValueError(f"a categorical column has {most} levels; exclude it or raise MAX_CATEGORIES")
-    weight = F.when(F.col(target) == 1, F.lit(float(p["scale_pos_weight"]))).otherwise(F.lit(1.0))
+    return fitted
+
+
+def most_levels(fitted_encoder: PipelineModel) -> int:
+    return max([len(v) for v in category_levels(fitted_encoder).values()] or [0])
+
+
+def encoded_rows(
+    fitted_encoder: PipelineModel, train: DataFrame, target: str, validation: DataFrame | None = None
+) -> DataFrame:
+    """``features, target, _validation`` of both splits."""
     rows = train.withColumn("_validation", F.lit(False))
     if validation is not None:
         rows = rows.unionByName(validation.withColumn("_validation", F.lit(True)))
-    rows = fitted_encoder.transform(rows).select("features", target, "_validation", weight.alias("_weight"))
+    return fitted_encoder.transform(rows).select("features", target, "_validation")
+
+
+def fit_trees(
+    rows: DataFrame, target: str, levels: int, params: Mapping[str, float] | None = None, stop_early: bool = False,
+    seed: int = 42, validation_tolerance: float = 0.001,
+) -> GBTClassificationModel:
+    """Gradient-boosted trees with logistic loss on encoded rows; checkpoints go to the shared folder."""
+    spark = rows.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    p = {**DEFAULT_BOOSTING, **(params or {})}
+    weight = F.when(F.col(target) == 1, F.lit(float(p["scale_pos_weight"]))).otherwise(F.lit(1.0))
     trees = GBTClassifier(
         featuresCol="features", labelCol=target, weightCol="_weight", lossType="logistic", seed=seed,
         maxDepth=int(p["max_depth"]), stepSize=float(p["eta"]), maxIter=int(p["num_round"]),
         subsamplingRate=float(p["subsample"]), featureSubsetStrategy=str(float(p["colsample_bytree"])),
-        minInstancesPerNode=max(1, round(p["min_child_weight"])), maxBins=max(32, most + 2),
+        minInstancesPerNode=max(1, round(p["min_child_weight"])), maxBins=max(32, levels + 2),
         validationTol=validation_tolerance, checkpointInterval=10, cacheNodeIds=True,
     )
-    if validation is not None:
+    if stop_early:
         trees = trees.setValidationIndicatorCol("_validation")
-    return PipelineModel(stages=[*fitted_encoder.stages, trees.fit(rows)])
+    return trees.fit(rows.withColumn("_weight", weight))
+
+
+def fit_boosted(
+    train: DataFrame, schema: FeatureSchema, target: str, params: Mapping[str, float] | None = None,
+    validation: DataFrame | None = None, seed: int = 42, validation_tolerance: float = 0.001,
+) -> PipelineModel:
+    """Encoder and trees; stops early on validation loss when a validation frame is given."""
+    fitted = fit_encoder(train, schema)
+    rows = encoded_rows(fitted, train, target, validation)
+    trees = fit_trees(rows, target, most_levels(fitted), params, validation is not None, seed, validation_tolerance)
+    return PipelineModel(stages=[*fitted.stages, trees])
 
 
 def add_score(df: DataFrame, model: PipelineModel, output: str = "score") -> DataFrame:

@@ -6,9 +6,11 @@ import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 
-from .modeling import FeatureSchema, add_score, fit_boosted
+from ..session import materialise
+from .modeling import FeatureSchema, encoded_rows, fit_encoder, fit_trees, most_levels
 from .ranking import ranking_metrics
 
 # Search ranges as (low, high, scale), number of trials, trials run at once.
@@ -50,12 +52,16 @@ def random_search(
     ``lambda`` is drawn and reported for completeness; MLlib's trees have no such penalty.
     """
     spark: SparkSession = train.sparkSession
+    fitted = fit_encoder(train, schema)
+    rows = materialise(encoded_rows(fitted, train, target, validation), "encoded")  # encoded once for all trials
+    held_out = rows.where("_validation")
 
     def run(numbered: tuple[int, dict[str, float]]) -> tuple:
         i, settings = numbered
-        model = fit_boosted(train, schema, target, settings, validation, seed)
-        row = ranking_metrics(add_score(validation, model, "_score"), "_score", target).first()
-        return (i, *[float(v) for v in settings.values()], row["pr_auc"])
+        trees = fit_trees(rows, target, most_levels(fitted), settings, stop_early=True, seed=seed)
+        scored = trees.transform(held_out).select(target, vector_to_array("probability")[1].alias("_score"))
+        pr_auc = ranking_metrics(scored, "_score", target).first()["pr_auc"]
+        return (i, *[float(v) for v in settings.values()], pr_auc)
 
     drawn = draw_settings(trials, seed, ranges)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
