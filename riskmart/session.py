@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANED: set[str] = set()
+
 
 def build_session(app_name: str = "riskmart", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every operator assumes: UTC, ANSI, AQE with skew-join splitting.
@@ -32,20 +33,39 @@ def build_session(app_name: str = "riskmart", master: str | None = None, **conf:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, with a local fallback for local masters only."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or one below the session's warehouse if that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = os.path.join(tempfile.gettempdir(), "riskmart-work")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work").rstrip("/")
+
+
+def work_root(spark: SparkSession) -> str:
+    """All intermediates of this application lie below this folder."""
+    return f"{shared_folder(spark)}/riskmart/{spark.sparkContext.applicationId}"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for one written intermediate."""
-    return f"{shared_folder(spark)}/riskmart/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path for one written intermediate; it goes when the application ends or with ``clean_work``."""
+    root = work_root(spark)
+    if root not in _CLEANED:
+        _CLEANED.add(root)
+        atexit.register(_clean_at_exit, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete one written intermediate whose readers are done."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_work(spark: SparkSession) -> None:
+    """Delete every intermediate this application has written."""
+    remove_path(spark, work_root(spark))
+
+
+def _clean_at_exit(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else stopped before: its session is gone and with it the file systems
+        remove_path(spark, root)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
