@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import secrets
+from . import secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -37,3 +37,11 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
+
+
+@_query
+def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(_table(spark, folder, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
