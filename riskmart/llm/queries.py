@@ -29,11 +29,11 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in secrets.BASE_KINDS
-    ]
-    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE_KINDS]
+    base = of(*secrets.BASE_KINDS)
     return found.select(
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
