@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import secrets, simhash
+from . import languages, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -39,6 +39,15 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language and calibrated score of every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = languages.identify(docs.select("doc_id", "text"), languages.fit_model(docs))
+    held_out = F.coalesce(~languages.learnt_from("doc_id"), F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
