@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import languages, secrets, simhash
+from ..session import materialise
+from . import languages, packing, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -39,6 +40,17 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences."""
+    return packed_documents(_table(spark, folder, "documents"))
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    pieces = packing.cut_documents(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(materialise(pieces, "pieces"))
+
+
 @_query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language and calibrated score of every document."""
