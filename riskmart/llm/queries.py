@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialise
-from . import languages, packing, secrets, simhash
+from . import archives, languages, packing, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -51,6 +51,34 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(materialise(pieces, "pieces"))
 
 
+@_query
+def op7_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to dictionary-compressed archives and read back; sizes and digests come from the payloads read."""
+    pages = _table(spark, folder, "pages")
+    place = archives.archive_folder(spark)
+    records = archives.read_archives(spark, place, archives.write_archives(pages, place))
+    kind = pages.schema["page_id"].dataType
+    whole = F.col("payload").isNotNull()
+    return records.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+CHECKS["op7_warc_archives"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+     d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+     f AS (SELECT digest, min(page_id) AS first FROM d GROUP BY digest)
+SELECT page_id, n AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM d JOIN f ON d.digest = f.digest
+"""
+
+
 @_query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language and calibrated score of every document."""
