@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialise
-from . import archives, languages, packing, secrets, simhash
+from . import archives, languages, packing, repeats, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -51,6 +51,17 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(materialise(pieces, "pieces"))
 
 
+@_query
+def op5_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the 400-byte strings that start anywhere else."""
+    found = repeats.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @_query
 def op7_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to dictionary-compressed archives and read back; sizes and digests come from the payloads read."""
