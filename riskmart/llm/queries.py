@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialise
-from . import archives, languages, packing, repeats, secrets, simhash
+from . import archives, languages, packing, quality, repeats, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -105,3 +105,12 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@_query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document, by the base rule and a decision list learnt from the labels."""
+    judged = quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
