@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialise
-from . import archives, languages, packing, quality, repeats, secrets, simhash
+from . import archives, languages, packing, privacy, quality, repeats, secrets, simhash
 
+KEY = "a key of the job"  # surrogates depend on it; a real job passes its own secret
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -62,6 +63,12 @@ def op5_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op6_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal data replaced, and how many entities of each kind were."""
+    return privacy.replace_entities(_table(spark, folder, "documents"), KEY).drop("lang", "source", "n_chars")
+
+
 @_query
 def op7_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to dictionary-compressed archives and read back; sizes and digests come from the payloads read."""
