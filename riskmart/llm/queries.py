@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialise
-from . import archives, languages, packing, privacy, quality, repeats, secrets, simhash
+from . import archives, languages, packing, pieces, privacy, quality, repeats, secrets, simhash
 
 KEY = "a key of the job"  # surrogates depend on it; a real job passes its own secret
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,16 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and digest of the ids of every document, and whether decoding them gives the text back."""
+    decoded = pieces.decode(pieces.encode(_table(spark, folder, "documents").select("doc_id", "text")))
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 @_query
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Where every piece of every document lies in the packed sequences."""

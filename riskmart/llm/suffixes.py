@@ -94,10 +94,10 @@ def rank_by_doubling(names: np.ndarray, depth: int) -> np.ndarray:
     """Order of the suffixes of a reduced string, at least by their first ``depth`` names."""
     ranks, n, covered = names.astype(np.int64), len(names), 1
     order = np.argsort(ranks, kind="stable")
-    while covered < depth:
+    while covered < depth and n:
         follow = np.zeros(n, np.int64)
         follow[: max(n - covered, 0)] = ranks[covered:] + 1
-        key = ranks * (n + 2) + follow
+        key = ranks * (int(ranks.max()) + 2) + follow
         order = np.argsort(key, kind="stable")
         sorted_key = key[order]
         new = np.cumsum(np.r_[0, sorted_key[1:] != sorted_key[:-1]])
