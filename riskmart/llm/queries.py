@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialise
-from . import archives, languages, packing, pieces, privacy, quality, repeats, secrets, simhash
+from . import archives, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash
 
 KEY = "a key of the job"  # surrogates depend on it; a real job passes its own secret
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,32 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_cover_tree_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+CHECKS["op1_cover_tree_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+), g AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), r(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM r JOIN l ON r.other = l.a
+), c AS (SELECT vec_id, min(other) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT c.vec_id, coalesce(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n ON c.vec_id = n.a
+"""
+
+
 @_query
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Counts per base kind, a digest of the base spans and all spans of every document."""
