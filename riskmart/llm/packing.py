@@ -9,6 +9,7 @@ repeated as often as the counts allow. Rows then find their place from their ran
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,9 @@ from ..session import materialise
 WINDOW = 2048
 END = 1  # id that ends every document
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
+CACHED_STEMS = 500_000
+TAIL = ".,!?;:"
 GROUP = 50_000  # pieces of one length that are numbered in one task
 
 
@@ -29,11 +32,23 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """Byte-level vocabularies write visible bytes as themselves and the others, in order, as characters from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in visible]
+    return {byte: chr(256 + place) for place, byte in enumerate(hidden)}
+
+
+BYTE_ALPHABET = _byte_alphabet()
+
+
 class WordEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, one tokenizer call for each batch's new words.
+    """Ids of whole texts as little-endian unsigned 32-bit bytes; only stems not met before go to the tokenizer.
 
     Blanks and line breaks separate words in this vocabulary's pre-tokenizer and are dropped, so the ids of a text are
-    those of its words in order.
+    those of its words in order. Closing punctuation after a Latin letter or digit is a word of its own there, and the case
+    of Latin letters does not count, so a word is a stem and a tail. A stem of such letters alone passes the normaliser and
+    the pre-tokenizer as it is and goes straight to the tokenizer's model, in the byte alphabet of its vocabulary.
     """
 
     def __init__(self, path: str):
@@ -42,18 +57,50 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.words: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {"": b""}
+
+    def _learn(self, words: list[str]) -> None:
+        parts = []
+        for word in words:
+            stem = word.rstrip(TAIL)
+            if stem and stem[-1] < "\u0130" and stem[-1].isalnum():  # above, lower case or composition may end in a mark
+                parts.append((stem.lower() if max(stem) < "\u0100" else stem, word[len(stem) :]))
+            else:
+                parts.append((word, ""))
+        if len(self.stems) > CACHED_STEMS:
+            self.stems = {"": b""}
+        new = list(set().union(*parts) - self.stems.keys())
+        odd, tokenize = [], self.tokenizer.model.tokenize
+        for stem in new:
+            if stem.isalpha() and max(stem) < "\u0100":
+                letters = stem if stem.isascii() else stem.encode().decode("latin-1").translate(BYTE_ALPHABET)
+                self.stems[stem] = np.array([token.id for token in tokenize(letters)], "<u4").tobytes()
+            else:
+                odd.append(stem)
+        for at in range(0, len(odd), 10_000):
+            some = odd[at : at + 10_000]
+            for stem, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.stems[stem] = np.array(encoding.ids, "<u4").tobytes()
+        for word, (stem, tail) in zip(words, parts):
+            self.words[word] = self.stems[stem] + self.stems[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self.words) > CACHED_WORDS:
             self.words = {"": b""}
-        new = list(set().union(*split) - self.words.keys()) if split else []
-        for word, encoding in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.words[word] = np.array(encoding.ids, "<u4").tobytes()
+        new = set().union(*split) - self.words.keys()
+        if new:
+            self._learn(list(new))
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """The encoder and the words it has met stay with the Python worker."""
+    return WordEncoder(path)
+
+
 def cut_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
     """Pieces (doc_id, start, length, ids, doc_tokens) of at most ``window`` tokens; ids are little-endian 32-bit integers.
 
@@ -64,7 +111,7 @@ def cut_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     path = tokenizer or default_tokenizer()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = encoder_of(path)
         end = np.array([END], "<u4").tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):  # so that pieces leave while others are encoded
