@@ -246,6 +246,12 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     return numbered.mapInArrow(_place(places), schema)
 
 
+def pack_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None) -> DataFrame:
+    """Places of all pieces of all documents; of the ids themselves their CRC-32 is kept (``ids_crc32``)."""
+    pieces = cut_documents(docs, id_column, text_column, tokenizer).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(materialise(pieces, "packing-pieces"))
+
+
 def assemble(packed: DataFrame, window: int = WINDOW, pad: int = 0) -> DataFrame:
     """Whole sequences (sequence_id, used, ids) from packed pieces with their ids, padded to the window."""
     parts = packed.groupBy("sequence_id").agg(

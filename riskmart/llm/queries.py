@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import materialise
 from . import archives, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash
 
 KEY = "a key of the job"  # surrogates depend on it; a real job passes its own secret
@@ -80,12 +79,7 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Where every piece of every document lies in the packed sequences."""
-    return packed_documents(_table(spark, folder, "documents"))
-
-
-def packed_documents(docs: DataFrame) -> DataFrame:
-    pieces = packing.cut_documents(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(materialise(pieces, "pieces"))
+    return packing.pack_documents(_table(spark, folder, "documents"))
 
 
 @_query
@@ -157,3 +151,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )
+
+
+@_query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus pipeline at the top of the repository, from raw documents to packed pieces."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)

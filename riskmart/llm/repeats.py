@@ -206,8 +206,8 @@ def _strings(length: int):
     return run
 
 
-def _remove(names: list[str]):
-    """Text without its ranges: appends size, maximal removed ranges and the remaining bytes."""
+def _remove(names: list[str], as_text: bool):
+    """Text without its ranges: appends size, maximal removed ranges and what remains, as bytes or as text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,10 +223,11 @@ def _remove(names: list[str]):
                 edges = [0, *(edge for one in merged for edge in one), len(data)]
                 sizes.append(len(data))
                 removed.append([{"start": s, "end": e} for s, e in merged])
-                kept.append(b"".join(data[s:e] for s, e in zip(edges[::2], edges[1::2])))
+                rest = b"".join(data[s:e] for s, e in zip(edges[::2], edges[1::2]))
+                kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
             spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [*(columns[n] for n in names), pa.array(sizes, pa.int64()), pa.array(removed, spans), pa.array(kept, pa.binary())],
+                [*(columns[n] for n in names), pa.array(sizes, pa.int64()), pa.array(removed, spans), pa.array(kept, pa.string() if as_text else pa.binary())],
                 [*names, "n_bytes", "removed", "kept"],
             )
 
@@ -234,10 +235,13 @@ def _remove(names: list[str]):
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH, crowd: int = SHARD_FRAGMENTS
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH, crowd: int = SHARD_FRAGMENTS,
+    as_text: bool = False,
 ) -> DataFrame:
     """All rows and columns with ``n_bytes``, ``removed`` (maximal byte ranges) and ``kept`` (remaining bytes) appended.
 
+    With ``as_text`` the remaining bytes are text; bytes of a character that a cut has split are left out of it.
+
     Every byte goes that is covered by a ``length``-byte string of the UTF-8 text which also starts anywhere else, in the
     same document or another; strings are judged on the input and never cross documents. Null texts are empty; texts
     below ``length`` bytes lose nothing; repeated rows count as two places. Rows are told apart by 128-bit digests of id
@@ -247,12 +251,12 @@ def remove_repeats(
         raise ValueError(f"strings below {2 * GRAM} bytes would need shorter grams")
     docs = docs.drop("n_bytes", "removed", "kept")
     names = docs.columns
+    if {"k1", "k2", "__text"} & set(names):
+        raise ValueError("columns named k1, k2 or __text are reserved")
     keyed = docs.select(
-        "*", F.col(text_column).alias("__text"), F.xxhash64(id_column, text_column).alias("k1"),
+        *names, F.col(text_column).alias("__text"), F.xxhash64(id_column, text_column).alias("k1"),
         F.xxhash64(F.lit(1), text_column, id_column).alias("k2"),
-    ).select(*names, "__text", "k1", "k2") if not {"k1", "k2", "__text"} & set(names) else None
-    if keyed is None:
-        raise ValueError("columns named k1, k2 or __text are reserved")
+    )
 
     found = materialise(
         keyed.select("k1", "k2", "__text").mapInArrow(_fragment_rows(length), "h bigint, g bigint, k1 bigint, k2 bigint, at bigint, starts bigint, inside boolean"),
@@ -292,5 +296,5 @@ def remove_repeats(
         whole.unionByName(sharded).unionByName(single).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("__ranges"))
     )
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    schema = ", ".join([*types, "n_bytes bigint", "removed array<struct<start: bigint, `end`: bigint>>", "kept binary"])
-    return keyed.join(covered, ["k1", "k2"], "left").select(*names, "__text", "__ranges").mapInArrow(_remove(names), schema)
+    schema = ", ".join([*types, "n_bytes bigint", "removed array<struct<start: bigint, `end`: bigint>>", f"kept {'string' if as_text else 'binary'}"])
+    return keyed.join(covered, ["k1", "k2"], "left").select(*names, "__text", "__ranges").mapInArrow(_remove(names, as_text), schema)

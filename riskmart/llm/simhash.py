@@ -182,7 +182,8 @@ def links(distinct: DataFrame, distance: int = MAX_DISTANCE, block: int = BLOCK)
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE, distance: int = MAX_DISTANCE
 ) -> DataFrame:
-    """One row per input row: doc_id, fp (signed long) and component_id, the smallest doc_id reachable by links.
+    """One row per input row: doc_id, fp (signed long), component_id, the smallest doc_id reachable by links, and root, the
+    smallest fingerprint of the component.
 
     Links hold between fingerprints, so equal texts and repeated rows always share a component. Null and blank texts all
     have fingerprint 0 and link like any other. A row with a null id takes its component's smallest id (null if none has
@@ -193,5 +194,5 @@ def near_duplicates(
     roots = connected_components(links(distinct, distance), "a", "b")
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = materialise(rooted.groupBy("root").agg(F.min("smallest").alias("component_id")), "simhash-roots")
-    named = materialise(rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "simhash-components")
-    return rows.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    named = materialise(rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id", "root"), "simhash-components")
+    return rows.join(named, "fp", "left").select("doc_id", "fp", "component_id", "root")
