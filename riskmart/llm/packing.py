@@ -8,6 +8,9 @@ repeated as often as the counts allow. Rows then find their place from their ran
 
 from __future__ import annotations
 
+import gc
+import string
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,7 +25,7 @@ END = 1  # id that ends every document
 TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS = 250_000
 CACHED_STEMS = 500_000
-TAIL = ".,!?;:"
+TAIL = string.punctuation.replace("'", "")  # an apostrophe may begin an ending of its own
 GROUP = 50_000  # pieces of one length that are numbered in one task
 
 
@@ -43,12 +46,12 @@ BYTE_ALPHABET = _byte_alphabet()
 
 
 class WordEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes; only stems not met before go to the tokenizer.
+    """Ids of whole texts as little-endian unsigned 32-bit bytes; only words not met before go to the tokenizer.
 
     Blanks and line breaks separate words in this vocabulary's pre-tokenizer and are dropped, so the ids of a text are
-    those of its words in order. Closing punctuation after a Latin letter or digit is a word of its own there, and the case
-    of Latin letters does not count, so a word is a stem and a tail. A stem of such letters alone passes the normaliser and
-    the pre-tokenizer as it is and goes straight to the tokenizer's model, in the byte alphabet of its vocabulary.
+    those of its words in order. Punctuation after a letter is a word of its own there, and the case of Latin letters does
+    not count, so a word of such letters is a stem and a tail. The stem passes the normaliser and the pre-tokenizer as it
+    is and goes straight to the tokenizer's model, in the byte alphabet of its vocabulary.
     """
 
     def __init__(self, path: str):
@@ -58,39 +61,47 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.words: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[str]) -> None:
-        parts = []
+        self.tails: dict[str, bytes] = {"": b""}
+
+    def _whole(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        for at in range(0, len(words), 10_000):
+            some = words[at : at + 10_000]
+            for word, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                yield word, array("I", encoding.ids).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        tails = {word[len(word.rstrip(TAIL)) :] for word in words} - self.tails.keys()
+        self.tails.update(self._whole(list(tails)))
+        odd, stems, tokenize = [], self.stems, self.tokenizer.model.tokenize
         for word in words:
             stem = word.rstrip(TAIL)
-            if stem and stem[-1] < "\u0130" and stem[-1].isalnum():  # above, lower case or composition may end in a mark
-                parts.append((stem.lower() if max(stem) < "\u0100" else stem, word[len(stem) :]))
-            else:
-                parts.append((word, ""))
-        if len(self.stems) > CACHED_STEMS:
-            self.stems = {"": b""}
-        new = list(set().union(*parts) - self.stems.keys())
-        odd, tokenize = [], self.tokenizer.model.tokenize
-        for stem in new:
-            if stem.isalpha() and max(stem) < "\u0100":
+            if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0100"):
+                odd.append(word)
+                continue
+            tail = word[len(stem) :]
+            stem = stem.lower()
+            ids = stems.get(stem)
+            if ids is None:
                 letters = stem if stem.isascii() else stem.encode().decode("latin-1").translate(BYTE_ALPHABET)
-                self.stems[stem] = np.array([token.id for token in tokenize(letters)], "<u4").tobytes()
-            else:
-                odd.append(stem)
-        for at in range(0, len(odd), 10_000):
-            some = odd[at : at + 10_000]
-            for stem, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.stems[stem] = np.array(encoding.ids, "<u4").tobytes()
-        for word, (stem, tail) in zip(words, parts):
-            self.words[word] = self.stems[stem] + self.stems[tail]
+                ids = stems[stem] = array("I", [token.id for token in tokenize(letters)]).tobytes()
+            self.words[word] = ids + self.tails[tail] if tail else ids
+        self.words.update(self._whole(odd))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.words) > CACHED_WORDS:
-            self.words = {"": b""}
+        for known, limit in ((self.words, CACHED_WORDS), (self.stems, CACHED_STEMS), (self.tails, CACHED_WORDS)):
+            if len(known) > limit:
+                known.clear()
+                known[""] = b""
         new = set().union(*split) - self.words.keys()
         if new:
-            self._learn(list(new))
+            collecting = gc.isenabled()
+            gc.disable()  # no cycles arise here, and a collection would walk all known words
+            try:
+                self._learn(new)
+            finally:
+                if collecting:
+                    gc.enable()
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
