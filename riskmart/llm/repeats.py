@@ -126,7 +126,7 @@ def _cut_fragments(length: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([w["h"] for w in wanted]), pa.array([w["c"] for w in wanted]), pa.array([w["hot"] for w in wanted]),
-                        pa.array([columns["k1"][row].as_py()] * n), pa.array([columns["k2"][row].as_py()] * n),
+                        pa.array([columns["__k1"][row].as_py()] * n), pa.array([columns["__k2"][row].as_py()] * n),
                         pa.array([w["at"] for w in wanted]),
                         pa.array([text[w["at"] : w["at"] + w["starts"] + length - 1] for w in wanted], pa.binary()),
                     ],
@@ -245,21 +245,18 @@ def remove_repeats(
     Every byte goes that is covered by a ``length``-byte string of the UTF-8 text which also starts anywhere else, in the
     same document or another; strings are judged on the input and never cross documents. Null texts are empty; texts
     below ``length`` bytes lose nothing; repeated rows count as two places. Rows are told apart by 128-bit digests of id
-    and text, so null and repeated ids are fine. Columns that had one of the appended names are replaced.
+    and text, so null and repeated ids are fine. Columns that had one of the appended names are replaced; names that begin
+    with two underscores are reserved.
     """
     if length < 2 * GRAM:
         raise ValueError(f"strings below {2 * GRAM} bytes would need shorter grams")
     docs = docs.drop("n_bytes", "removed", "kept")
     names = docs.columns
-    if {"k1", "k2", "__text"} & set(names):
-        raise ValueError("columns named k1, k2 or __text are reserved")
-    keyed = docs.select(
-        *names, F.col(text_column).alias("__text"), F.xxhash64(id_column, text_column).alias("k1"),
-        F.xxhash64(F.lit(1), text_column, id_column).alias("k2"),
-    )
+    keys = {"__k1": F.xxhash64(id_column, text_column), "__k2": F.xxhash64(F.lit(1), text_column, id_column)}
+    keyed = docs.select(*names, F.col(text_column).alias("__text"), *(key.alias(name) for name, key in keys.items()))
 
     found = materialise(
-        keyed.select("k1", "k2", "__text").mapInArrow(_fragment_rows(length), "h bigint, g bigint, k1 bigint, k2 bigint, at bigint, starts bigint, inside boolean"),
+        keyed.select("__k1", "__k2", "__text").mapInArrow(_fragment_rows(length), "h bigint, g bigint, k1 bigint, k2 bigint, at bigint, starts bigint, inside boolean"),
         "repeats-fragments",
     )
     twice = found.groupBy("h").agg(F.count("*").alias("n"), F.max("inside").alias("inside")).filter("n > 1 OR inside").select("h")
@@ -279,7 +276,8 @@ def remove_repeats(
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("h", "c", (F.col("different") > crowd).alias("hot"), "at", "starts")).alias("wanted"))
     )
-    pieces = keyed.join(wanted, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select(*names, "__text", "k1", "k2", "wanted").mapInArrow(
+    wanted = wanted.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
+    pieces = keyed.select("__text", "__k1", "__k2").join(wanted, ["__k1", "__k2"]).dropDuplicates(["__k1", "__k2"]).mapInArrow(
         _cut_fragments(length), "h bigint, c bigint, hot boolean, k1 bigint, k2 bigint, at bigint, data binary"
     )
     pieces = materialise(pieces, "repeats-pieces")
@@ -297,4 +295,5 @@ def remove_repeats(
     )
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     schema = ", ".join([*types, "n_bytes bigint", "removed array<struct<start: bigint, `end`: bigint>>", f"kept {'string' if as_text else 'binary'}"])
-    return keyed.join(covered, ["k1", "k2"], "left").select(*names, "__text", "__ranges").mapInArrow(_remove(names, as_text), schema)
+    covered = covered.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
+    return keyed.join(covered, ["__k1", "__k2"], "left").select(*names, "__text", "__ranges").mapInArrow(_remove(names, as_text), schema)
