@@ -28,9 +28,10 @@ SCRIPTS = {
 }
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _TITLE = "|".join(sorted((t for own in TITLES.values() for t in own), key=len, reverse=True))
-# In order of precedence. Look-behinds let a match begin at the start of a token only, so long tokens cost one pass.
+# In order of precedence. Look-behinds let a match begin at the start of a token only, so long tokens cost one pass, and no
+# group repeats without a bound, since each repetition takes a stack frame.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9][A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+?[0-9]{0,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{3,4}"

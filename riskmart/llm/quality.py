@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
 
-BINS = 64  # cut points per statistic, at quantiles of the labelled documents
+BINS = 64  # cut points per statistic, between quantiles of the labelled documents
 MAX_CONDITIONS = 3
 MAX_RULES = 12
 LEAST_COVERED = 3  # documents of the held-back third a rule must cover
@@ -107,8 +107,9 @@ def learn_rules(statistics: DataFrame, labels: DataFrame, id_column: str = "doc_
     found = known.agg(*(F.percentile_approx(s, levels, 10_000).alias(s) for s in STATISTICS)).first()
     if found[0] is None:
         return []
-    cuts = {s: sorted(set(found[s])) for s in STATISTICS}
-    bins = [sum((F.col(s) >= cut).cast("int") for cut in cuts[s]).alias(s) for s in STATISTICS]
+    values = {s: sorted(set(found[s])) for s in STATISTICS}
+    cuts = {s: [(a + b) / 2 for a, b in zip(own, own[1:])] for s, own in values.items()}  # halfway, so as to hold beyond the labelled
+    bins = [sum(((F.col(s) >= cut).cast("int") for cut in cuts[s]), F.lit(0)).alias(s) for s in STATISTICS]
     grow = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0).alias("grow")
     cells = materialise(known.select(grow, "bad", *bins).groupBy("grow", "bad", *STATISTICS).count(), "quality-cells")
     rules: list[list[tuple[str, bool, int]]] = []
