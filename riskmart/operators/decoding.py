@@ -8,8 +8,16 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def last_per_key(dimension: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:
-    """One row per key; the last duplicate by ``order`` wins (largest value when there is no order)."""
-    chosen = F.max_by(F.struct(value), F.col(order))[value] if order else F.max(value)
+    """One row per key; the last duplicate by ``order`` wins.
+
+    Without an order there is no last one: keys must then be unique (equal duplicates are), or the job fails.
+    """
+    if order:
+        chosen = F.max_by(F.struct(value), F.col(order))[value]
+    else:
+        several = ~F.min(value).eqNullSafe(F.max(value)) | ((F.count(value) > 0) & (F.count(value) < F.count(F.lit(1))))
+        message = F.concat(F.lit(f"{key} has several values of {value} and no order: "), F.max(F.col(key).cast("string")))
+        chosen = F.when(several, F.raise_error(message)).otherwise(F.max(value))
     return dimension.where(F.col(key).isNotNull()).groupBy(key).agg(chosen.alias(value))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
+from .joins import join_groups
 from .profiling import column_values, exact_quantiles
 from .ranking import cut_levels, level_metrics, level_sums, precision_from_cuts, score_levels
 
@@ -18,6 +19,10 @@ def _share(part: Column, whole: Column, empty: float | None = 0.0) -> Column:
     return value if empty is None else F.coalesce(value, F.lit(empty))
 
 
+def _known(value: Column) -> Column:
+    return F.when(F.col("threshold").isNotNull(), value)
+
+
 def confusion_sums(label: Column, prediction: Column) -> list[Column]:
     """The four cells as aggregates, zero when a cell is empty."""
     def cell(y: int, p: int) -> Column:
@@ -74,20 +79,21 @@ def full_metrics(
 ) -> DataFrame:
     """All evaluation numbers, one row per group.
 
-    ``thresholds`` is a number, or a table ``by..., threshold``. One aggregate over the score levels yields every
+    ``thresholds`` is a number, or a table ``by..., threshold``. A group without a threshold keeps its ranking metrics;
+    its threshold, its rates at the threshold and its confusion cells are NULL. One aggregate over the score levels yields every
     metric except the tie-breaking of precision@k.
     """
     by = list(by)
     levels = score_levels(df, score, label, by)
     if isinstance(thresholds, DataFrame):
-        at = levels.join(thresholds, by) if by else levels.withColumn("threshold", thresholds.scalar())
+        at = join_groups(levels, thresholds, by, "left") if by else levels.withColumn("threshold", thresholds.scalar())
     else:
         at = levels.withColumn("threshold", F.lit(float(thresholds)))
     flagged = F.col("score") >= F.col("threshold")
     neg = F.col("n") - F.col("pos")
 
     def total(c: Column, when: Column) -> Column:
-        return F.coalesce(F.sum(F.when(when, c)), F.lit(0))
+        return F.when(F.max("threshold").isNotNull(), F.coalesce(F.sum(F.when(when, c)), F.lit(0)))
 
     # One row per group, written once: three tables below read it, the levels behind it are computed once.
     summary = materialise(at.groupBy(*by).agg(
@@ -103,13 +109,13 @@ def full_metrics(
     ])
     ranked = summary.select(*by, *level_metrics(), "threshold", "tn", "fp", "fn", "tp")
     if by:
-        joined = ranked.join(at_k, by)
+        joined = join_groups(ranked, at_k, by, "left")
     else:  # one row each
         joined = ranked.withColumn("_k", at_k.select(F.struct(*METRIC_FRACTIONS)).scalar()).select("*", "_k.*")
     return joined.select(
         *by, "pr_auc", "roc_auc", "brier_score", *METRIC_FRACTIONS, "base_rate",
-        _share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision_at_threshold"),
-        _share(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall_at_threshold"),
+        _known(_share(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision_at_threshold"),
+        _known(_share(F.col("tp"), F.col("tp") + F.col("fn"))).alias("recall_at_threshold"),
         "threshold", "tn", "fp", "fn", "tp",
     )
 

@@ -151,7 +151,7 @@ def scoring_smoke_test(inputs: DataFrame, scored: DataFrame, rescored: DataFrame
 
 def enforce(gates: DataFrame) -> DataFrame:
     """Run the gates and raise when a row failed; returns the gate rows."""
-    failed = [r.asDict() for r in gates.where(~F.col("passed")).limit(20).collect()]
+    failed = [r.asDict() for r in gates.where(~F.col("passed")).collect()]
     if failed:
         raise GateFailure("; ".join(
             f"{r['check']}[{r['subject']}]: {r['observed']} against {r['bound']}" for r in failed

@@ -137,8 +137,11 @@ def model_quality_violations(baseline: DataFrame, current: DataFrame, tolerance:
 
 
 def violation_counts(violations: DataFrame) -> DataFrame:
-    """Violations per check type and in total (``check_type`` NULL)."""
-    return violations.rollup(F.col("constraint_check_type").alias("check_type")).agg(F.count(F.lit(1)).alias("n"))
+    """Violations per check type and in total (``check_type`` NULL); a clean run has a total of zero."""
+    n = F.count(F.lit(1)).alias("n")
+    by_type = violations.groupBy(F.col("constraint_check_type").alias("check_type")).agg(n)
+    total = by_type.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit(None).cast("string").alias("check_type"), "n")
+    return by_type.unionByName(total)
 
 
 def metric_rows(

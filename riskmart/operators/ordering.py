@@ -13,11 +13,14 @@ All three are exact and return the same rows for every partitioning of the input
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .joins import group_key, join_groups
+
 # Leading hex digits of the hash used as pieces: 16^4 = 65,536, which also bounds the per-group window over piece
 # totals. A group of 10^11 ties leaves about 1.5 million rows in the one piece that is ordered.
 PREFIX_DIGITS = 4
@@ -47,7 +50,7 @@ def value_ranges(df: DataFrame, key: str, ranges: int | None = None) -> list[flo
     """
     ranges = min(ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     cuts = df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
-    return sorted(set(cuts))
+    return sorted({c for c in cuts if math.isfinite(c)})
 
 
 def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
@@ -55,11 +58,14 @@ def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
 
 
 def _with_range(df: DataFrame, key: str, cuts: Sequence[float]) -> DataFrame:
-    """Add ``_range``: the quantile range of the key and the equal-width piece inside it; never falls as keys rise."""
+    """Add ``_range``: the quantile range of the key and the equal-width piece inside it; never falls as keys rise.
+
+    The outer ranges hold the infinities, and NaN, which Spark orders above everything, has a range of its own.
+    """
     if not cuts:
         return df.withColumn("_range", F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
-    coarse = Bucketizer(splits=splits, inputCol=key, outputCol="_coarse").transform(df)
+    coarse = Bucketizer(splits=splits, inputCol=key, outputCol="_coarse", handleInvalid="keep").transform(df)
     index = F.col("_coarse").cast("int")
     bounds = F.array(*[F.lit(c) for c in cuts])
     low, high = F.get(bounds, index - 1), F.get(bounds, index)
@@ -81,8 +87,11 @@ def running_totals(
 
     ``levels`` holds one row per (``by``, ``key``); ``key`` is a double without NULLs.
     """
+    # One shuffle by range serves the windows inside the ranges and the totals per range. NULL groups are groups.
     by = list(by)
-    # One shuffle by range serves the windows inside the ranges and the totals per range.
+    columns, keys = levels.columns, by
+    if by:
+        levels, by = levels.withColumn("_group", group_key(by)).drop(*by), ["_group"]
     ranged = _with_range(levels, key, cuts).repartition(*by, "_range")
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
 
@@ -99,7 +108,7 @@ def running_totals(
     )
     inside = ranged.select("*", *[before(s, key, [*by, "_range"]).alias(f"_inside_{s}") for s in sums])
     return inside.join(offsets, [*by, "_range"]).select(
-        *levels.columns, *[(F.col(f"_inside_{s}") + F.col(f"_offset_{s}")).alias(f"{s}_before") for s in sums],
+        *[F.col("_group")[c].alias(c) if c in keys else F.col(c) for c in columns], *[(F.col(f"_inside_{s}") + F.col(f"_offset_{s}")).alias(f"{s}_before") for s in sums],
         *[f"{s}_total" for s in sums],
     )
 
@@ -130,7 +139,7 @@ def first_in_hash_order(
     reached = _prefix_totals(keyed, by, [need]).where(F.col("_before") < F.col(need)).select(*by, "_prefix", "_before")
     position = F.row_number().over(Window.partitionBy(*by, "_prefix").orderBy("_hash", id_column))
     return (
-        keyed.join(_maybe_broadcast(reached, not by), [*by, "_prefix"])  # at most 65,536 rows without groups
+        join_groups(keyed, _maybe_broadcast(reached, not by), [*by, "_prefix"])  # at most 65,536 rows without groups
         .withColumn("_position", F.col("_before") + position)
         .where(F.col("_position") <= F.col(need))
         .select(*df.columns)
@@ -156,10 +165,10 @@ def positives_in_hash_order(
     whole = pieces.where(inside).groupBy(*by).agg(F.sum("_flags").alias("_whole"))
     cut = pieces.where(~inside).select(*by, "_prefix", (F.col("_need") - F.col("_before")).alias("_left"))
     position = F.row_number().over(Window.partitionBy(*by).orderBy("_hash", id_column))
-    part = keyed.join(_maybe_broadcast(cut, few), [*by, "_prefix"]).withColumn("_position", position)
+    part = join_groups(keyed, _maybe_broadcast(cut, few), [*by, "_prefix"]).withColumn("_position", position)
     part = part.where(F.col("_position") <= F.col("_left")).groupBy(*by).agg(F.sum(flag).alias("_part"))
     hits = F.coalesce("_whole", F.lit(0)) + F.coalesce("_part", F.lit(0))
-    return whole.join(part, by, "full").select(*by, hits.alias("hits"))
+    return join_groups(whole, part, by, "full").select(*by, hits.alias("hits"))
 
 
 def sample_rows(df: DataFrame, n: int, id_column: str, seed: int = 42) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import alert_count
 from ..session import materialise
+from .joins import join_groups
 from .ordering import positives_in_hash_order, running_totals, value_ranges
 
 # Cut levels up to this count are broadcast; they are counted first.
@@ -19,9 +20,12 @@ FEW_CUTS = 10_000
 
 
 def score_levels(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """``by..., score, n, pos`` with the totals of all higher scores as ``n_before`` and ``pos_before``."""
+    """``by..., score, n, pos`` with the totals of all higher scores as ``n_before`` and ``pos_before``.
+
+    Rows without a score (NULL, NaN) or without a label take no part, here as in the confusion cells.
+    """
     scored = df.select(*by, F.col(score).cast("double").alias("score"), F.col(label).cast("bigint").alias("y"))
-    scored = scored.where("score is not null")
+    scored = scored.where("score is not null and not isnan(score) and y is not null")
     levels = scored.groupBy(*by, "score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     return running_totals(levels, "score", ["n", "pos"], by, descending=True, cuts=value_ranges(scored, "score"))
 
@@ -88,12 +92,12 @@ def precision_from_cuts(
     rows = df.select(
         *by, F.col(score).cast("double").alias("score"), F.col(label).cast("bigint").alias("y"),
         F.col(id_column).alias("_id"),
-    )
+    ).where("y is not null")
     # Few cuts are broadcast, so the scored table is filtered in place; many are shuffled and AQE splits hot scores.
-    ties = rows.join(F.broadcast(through) if few else through, [*by, "score"])
+    ties = join_groups(rows, F.broadcast(through) if few else through, [*by, "score"])
     hits = positives_in_hash_order(ties, "_id", "y", "need", keys, few)
     taken = F.col("pos_before") + F.coalesce("hits", "pos")
-    return cuts.join(hits, keys, "left").select(*keys, "k", ratio(taken))
+    return join_groups(cuts, hits, keys, "left").select(*keys, "k", ratio(taken))
 
 
 def precision_at(
