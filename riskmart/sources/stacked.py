@@ -6,34 +6,39 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-# Stacked files are hand-kept dictionaries. Above this size the file is refused instead of read by one task.
-MAX_FILE_BYTES = 64 * 1024 * 1024
-
 
 class StackedFileError(ValueError):
     """The file does not hold the expected tables."""
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line_no, line`` of one size-checked file."""
-    sizes = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    """``line_no, blanks, line`` of one file; ``blanks`` counts the blank lines before. Large files are read in blocks.
+
+    Lines are numbered inside their block and the totals of earlier blocks are added; only those totals, one row per
+    block, meet in one task.
+    """
+    sizes = spark.read.format("binaryFile").load(path).select("path").collect()
     if len(sizes) != 1:
         raise StackedFileError(f"expected one file at {path}, found {len(sizes)}")
-    if sizes[0]["length"] > MAX_FILE_BYTES:
-        raise StackedFileError(f"{path} has {sizes[0]['length']} bytes, more than {MAX_FILE_BYTES}")
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line_no", "line"))
+    blank: Column = F.regexp_replace("value", r"^[\s,]+|[\s,]+$", "") == ""
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"), blank.cast("int").alias("blank"),
+    )
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = lines.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.sum("blank").alias("blank")).select(
+        "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("lines_before"),
+        F.coalesce(F.sum("blank").over(earlier), F.lit(0)).alias("blanks_before"))
+    inside = Window.partitionBy("block").orderBy("place")
+    counted = lines.select(
+        "line", "block", "blank", F.row_number().over(inside).alias("own"), F.sum("blank").over(inside).alias("own_blanks"))
+    return counted.join(offsets, "block").where("blank = 0").select(
+        (F.col("lines_before") + F.col("own")).alias("line_no"), (F.col("blanks_before") + F.col("own_blanks")).alias("blanks"), "line")
 
 
 def sections(lines: DataFrame) -> DataFrame:
-    """Content lines with ``section`` (1, 2, ...) and ``row`` (0 is the header); blank or comma-only lines separate."""
-    blank: Column = F.regexp_replace("line", r"^[\s,]+|[\s,]+$", "") == ""
-    order = Window.orderBy("line_no")
-    marked = lines.withColumn("_blank", blank)
-    starts = (~F.col("_blank")) & F.coalesce(F.lag("_blank").over(order), F.lit(True))
-    numbered = marked.withColumn("section", F.sum(starts.cast("int")).over(order)).where(~F.col("_blank"))
-    row = F.row_number().over(Window.partitionBy("section").orderBy("line_no")) - 1
-    return numbered.select("section", row.alias("row"), "line_no", "line")
+    """Header line of every section: lines with equally many blank or comma-only lines before them belong together."""
+    return lines.groupBy("blanks").agg(F.min("line_no").alias("header_no"), F.min_by("line", "line_no").alias("header"))
 
 
 def read_stacked(spark: SparkSession, path: str, tables: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
@@ -41,18 +46,18 @@ def read_stacked(spark: SparkSession, path: str, tables: Mapping[str, Sequence[s
 
     Only the empty cell is NULL; the text ``NULL`` stays text.
     """
-    parsed = sections(numbered_lines(spark, path))
-    firsts = parsed.where("row = 0").orderBy("section").limit(len(tables) + 1).select("section", "line").collect()
-    headers = {r["section"]: r["line"] for r in firsts}
-    if len(headers) != len(tables):
-        raise StackedFileError(f"expected {len(tables)} stacked tables, found {len(headers)}")
+    lines = numbered_lines(spark, path)
+    heads = sections(lines)
+    found = heads.count()
+    if found != len(tables):
+        raise StackedFileError(f"expected {len(tables)} stacked tables, found {found}")
     result = {}
-    for number, (name, columns) in enumerate(tables.items(), start=1):
-        found = [c.strip().strip('"') for c in headers[number].split(",")]
-        if found != list(columns):
-            raise StackedFileError(f"{name}: expected columns {list(columns)}, found {found}")
+    for (name, columns), head in zip(tables.items(), heads.orderBy("header_no").collect()):  # one row per expected table
+        names = [c.strip().strip('"') for c in head["header"].split(",")]
+        if names != list(columns):
+            raise StackedFileError(f"{name}: expected columns {list(columns)}, found {names}")
         schema = ", ".join(f"`{c}` string" for c in columns)
-        body = parsed.where((F.col("section") == number) & (F.col("row") > 0))
-        cells = F.from_csv("line", schema, {"quote": '"', "nullValue": ""})
+        body = lines.where((F.col("blanks") == head["blanks"]) & (F.col("line_no") > head["header_no"]))
+        cells = F.from_csv("line", schema, {"quote": '"', "escape": '"', "nullValue": ""})
         result[name] = body.select(cells.alias("c"), "line_no").select("c.*", "line_no")
     return result

@@ -11,11 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 ALARM_PERIOD_SECONDS = 60
 ALARM_THRESHOLD = 90.0
 FAILURE_STATES = ["Failed", "Stopped"]
-JOB_STATUS_FIELDS = {
-    "Transform Job State Change": "TransformJobStatus",
-    "Training Job State Change": "TrainingJobStatus",
-    "Processing Job State Change": "ProcessingJobStatus",
-}
 
 
 @dataclass(frozen=True)
@@ -35,12 +30,14 @@ class EventRule:
         return F.coalesce(condition, F.lit(False))
 
 
-def job_failure_rules(source: str, source_column: str = "source", type_column: str = "detail_type") -> list[EventRule]:
-    """One rule per job kind reaching a failure state."""
+def job_failure_rules(
+    source: str, status_fields: Mapping[str, str], states: Sequence[str] = tuple(FAILURE_STATES),
+    source_column: str = "source", type_column: str = "detail_type",
+) -> list[EventRule]:
+    """One rule per kind of event (its full detail type) whose status field, inside the detail, reaches a failure state."""
     return [
-        EventRule(f"job-failure-{status.lower()}", {source_column: [source], type_column: [kind]},
-                  {status: FAILURE_STATES})
-        for kind, status in JOB_STATUS_FIELDS.items()
+        EventRule(f"job-failure-{field.lower()}", {source_column: [source], type_column: [kind]}, {field: list(states)})
+        for kind, field in status_fields.items()
     ]
 
 

@@ -25,23 +25,25 @@ def test_clean_and_transform(raw, dimensions):
     assert not set(S.LOW_VALUE_COLUMNS) & set(clean.columns)
     assert [d for d in S.DRUG_COLUMNS if d in clean.columns] == ["metformin", "insulin"]
     rows = {r["encounter_id"]: r for r in clean.collect()}
-    assert set(rows) == {"1", "2", "8"}
-    first = rows["1"]
-    assert (first["diag_1_group"], first["diag_2_group"], first["diag_3_group"]) == ("Diabetes", "Circulatory", "Missing")
-    assert (first["readmit_30"], rows["2"]["readmit_30"], rows["8"]["readmit_30"]) == (1, 0, 0)
-    assert (rows["8"]["n_med_changes"], rows["8"]["n_diabetes_meds"]) == (2, 2)
-    assert first["admission_type"] == "Emergency" and first["discharge_disposition"] == "Discharged to home"
-    assert first["admission_source"] == " Emergency Room"
-    assert first["age_ordinal"] == 4 and first["a1c_tested"] == 0 and first["a1c_level"] == "NotTested"
-    for r in rows.values():
-        assert (r["medical_specialty"], r["payer_code"], r["specialty_missing"], r["payer_missing"]) == ("Unknown", "Unknown", 1, 1)
+    assert set(rows) == {"e1", "e2", "e3"}
+    one, two, three = (rows[f"e{i}"] for i in (1, 2, 3))
+    assert (one["diag_1_group"], one["diag_2_group"], one["diag_3_group"]) == ("Diabetes", "Circulatory", "Missing")
+    assert [r["readmit_30"] for r in (one, two, three)] == [1, 0, 0]
+    assert [(r["n_med_changes"], r["n_diabetes_meds"]) for r in (one, two, three)] == [(0, 1), (0, 1), (2, 3)]
+    assert (one["admission_type"], two["admission_type"]) == ("late admission_type 3", "late admission_type 4")
+    assert (one["discharge_disposition"], three["discharge_disposition"]) == ("late discharge_disposition 25", None)
+    assert three["discharge_disposition_id"] == 3 and three["prior_visits_total"] == 5
+    assert [(r["a1c_tested"], r["a1c_level"], r["glu_level"]) for r in (one, two)] == [(1, ">7", "Norm"), (0, "NotTested", "NotTested")]
+    assert (one["payer_code"], one["payer_missing"], one["specialty_missing"]) == ("Unknown", 1, 0)
+    assert (two["medical_specialty"], two["specialty_missing"], two["payer_missing"]) == ("Unknown", 1, 0)
+    assert {r["age_ordinal"] for r in rows.values()} == {8}
     types = dict(clean.dtypes)
     assert {types[c] for c in S.COUNTER_COLUMNS} == {"bigint"} and types["encounter_id"] == "string"
     assert len(cleaning.feature_names(clean.columns)) == 41
 
 
 def test_missing_counter_fails_the_job(spark, dimensions):
-    bad = spark.createDataFrame([encounter(encounter_id="1", time_in_hospital="?")], S.ENCOUNTERS)
+    bad = spark.createDataFrame([encounter(1, time_in_hospital="?")], S.ENCOUNTERS)
     with pytest.raises(Exception, match="time_in_hospital: not a number"):
         cleaning.clean_and_transform(bad, dimensions).collect()
 
@@ -71,3 +73,11 @@ def test_score_skew_counts_both_sides(spark):
     row = decoding.score_skew(a, b, "id", "s").first()
     assert (row["n_matched"], row["n_only_left"], row["n_only_right"], row["no_skew"]) == (2, 1, 1, False)
     assert decoding.score_skew(a.where("id = 1"), b.where("id = 1"), "id", "s").first()["no_skew"] is True
+
+
+def test_duplicates_without_an_order_fail(spark):
+    dim = spark.createDataFrame([("1", "a"), ("1", "b")], "id string, d string")
+    with pytest.raises(Exception, match="several values"):
+        decoding.last_per_key(dim, "id", "d").collect()
+    same = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", None), (None, "x")], "id string, d string")
+    assert {tuple(r) for r in decoding.last_per_key(same, "id", "d").collect()} == {("1", "a"), ("2", None)}

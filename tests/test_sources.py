@@ -12,7 +12,10 @@ from riskmart.operators.gates import GateFailure
 from riskmart.plans import features as jobs
 from riskmart.sources import catalog, csv, manifest, reports, stacked
 
-STACKED = "admission_type_id,description\n1,Emergency\n6,NULL\n8,\n,\ndischarge_disposition_id,description\n1,\"Discharged, home\"\n\n,\nadmission_source_id,description\n7, Emergency Room\n"
+STACKED = (
+    "admission_type_id,description\n1,Planned\n6,NULL\n8,\n,\ndischarge_disposition_id,description\n"
+    '1,"To kin, ""by car"""\n\n,\nadmission_source_id,description\n7, By boat\n'
+)
 TABLES = {name: [key, "description"] for name, key in S.DIMENSIONS.items()}
 
 
@@ -21,9 +24,9 @@ def test_stacked_tables(spark, tmp_path):
     path.write_text(STACKED)
     tables = stacked.read_stacked(spark, str(path), TABLES)
     first = [tuple(r)[:2] for r in tables["admission_type"].orderBy("line_no").collect()]
-    assert first == [("1", "Emergency"), ("6", "NULL"), ("8", None)]
-    assert tables["discharge_disposition"].first()["description"] == "Discharged, home"
-    assert tables["admission_source"].first()["description"] == " Emergency Room"
+    assert first == [("1", "Planned"), ("6", "NULL"), ("8", None)]
+    assert tables["discharge_disposition"].first()["description"] == 'To kin, "by car"'
+    assert tables["admission_source"].first()["description"] == " By boat"
 
 
 @pytest.mark.parametrize("text,message", [
