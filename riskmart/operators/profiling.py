@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.nulls import name, quoted
 from ..functions.numeric import clip_upper
@@ -55,6 +55,25 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return value_counts(df, columns).groupBy("column").agg(F.count("value").alias("n_distinct"))
 
 
+LEVEL_PREFIX = 3  # leading characters by which the levels of a column are cut into sorted pieces
+
+
+def sorted_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, position, level``: the distinct non-NULL values of every column in text order, counted from 0.
+
+    Levels are sorted in pieces with equal leading characters; the sizes of earlier pieces are added, so a column with
+    very many levels is not sorted in one task.
+    """
+    levels = column_values(df, columns).where("value is not null").select("column", "value").distinct()
+    pieced = levels.withColumn("_piece", F.substring("value", 1, LEVEL_PREFIX))
+    earlier = Window.partitionBy("column").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieced.groupBy("column", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = pieces.select("column", "_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("column", "_piece").orderBy("value")) - 1
+    return pieced.withColumn("_own", inside).join(offsets, ["column", "_piece"]).select(
+        "column", (F.col("_before") + F.col("_own")).alias("position"), F.col("value").alias("level"))
+
+
 def group_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 

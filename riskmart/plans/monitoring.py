@@ -4,14 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import flag_at
+from ..functions.nulls import quoted
+from ..operators.cleaning import feature_names
 from ..operators.modeling import Bundle
 from ..operators.monitoring import (
     data_quality_violations, metric_rows, model_quality_statistics, model_quality_violations,
 )
 
 
+def feature_input(df: DataFrame) -> DataFrame:
+    """What the data-quality monitor sees: the feature columns alone."""
+    return df.select(*[quoted(c) for c in feature_names(df.columns)])
+
+
+def scored_input(df: DataFrame, score: str, label: str, threshold: float | Column) -> DataFrame:
+    """What the model-quality monitor sees: probability, 0/1 prediction and label."""
+    return df.select(F.col(score).alias("probability"), flag_at(F.col(score), threshold).alias("prediction"), label)
+
+
+def bias_input(df: DataFrame, facets: Sequence[str], label: str, score: str, threshold: float | Column) -> DataFrame:
+    """What the bias monitor sees: the facets, the label and the 0/1 prediction."""
+    return df.select(*[quoted(c) for c in facets], label, flag_at(F.col(score), threshold).alias("prediction"))
+
+
 def data_quality_job(
     train: DataFrame, production: DataFrame, columns: Sequence[str], categorical: Sequence[str]
 ) -> DataFrame:

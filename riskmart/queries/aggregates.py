@@ -261,12 +261,11 @@ def _(spark, folder):
 
 
 @query("w7_sorted_categories", check("""
-SELECT list_aggregate(list_sort(list(DISTINCT priority) FILTER (priority IS NOT NULL)), 'string_agg', '|') AS priorities,
-       list_aggregate(list_sort(list(DISTINCT status)), 'string_agg', '|') AS statuses FROM records"""))
+SELECT "column", row_number() OVER (PARTITION BY "column" ORDER BY level) - 1 AS position, level FROM (
+  SELECT DISTINCT 'priority' AS "column", priority AS level FROM records WHERE priority IS NOT NULL
+  UNION SELECT DISTINCT 'status', status FROM records UNION SELECT DISTINCT 'entity', CAST(entity AS VARCHAR) FROM records)"""))
 def _(spark, folder):
-    df = records(spark, folder)
-    levels = lambda c: F.concat_ws("|", F.array_sort(F.collect_set(c)))
-    return df.agg(levels("priority").alias("priorities"), levels("status").alias("statuses"))
+    return P.sorted_levels(records(spark, folder), ["priority", "status", "entity"])
 
 
 @query("w8_seeded_sample", "SELECT l_orderkey, l_linenumber, l_partkey, key FROM (SELECT *, l_orderkey || '/' || l_linenumber || '/' || l_partkey || '/' || l_suppkey || '/' || CAST(l_shipdate AS DATE) AS key FROM lineitem) ORDER BY md5('42:' || key), key LIMIT 5000")

@@ -14,11 +14,12 @@ from .. import schema as S
 from ..functions import platt
 from ..operators import attribution, evaluation as E, modeling as M, search
 from ..operators.cleaning import feature_names
-from ..operators.fairness import bias_metrics, fairness_report
+from ..operators.fairness import bias_metrics, fairness_report, long_report
 from ..operators.ranking import ranking_metrics
 from ..plans import evaluation as jobs, monitoring as monitor_jobs
 from ..session import work_path
 from ..sources.catalog import read_partition, write_partitioned
+from ..sources.csv import union_by_name
 from .aggregates import rounded
 from .registry import query
 from .sql import check
@@ -43,8 +44,6 @@ def _schema(df: DataFrame, names: list[str] | None = None) -> M.FeatureSchema:
     return M.feature_schema(df, names or feature_names(df.columns), S.TARGET)
 
 
-_SOME = ["race", "gender", "payer_code", "diag_1_group", "a1c_level", "time_in_hospital", "number_inpatient",
-         "number_emergency", "n_med_changes", "prior_visits_total"]
 _LEVEL_COLUMNS = ["race", "payer_code", "diag_1", "admission_source"]
 
 
@@ -79,7 +78,7 @@ def _(spark, folder):
 @query("m3_full_logistic")
 def _(spark, folder):
     train, test = features(spark, folder, "train"), features(spark, folder, "test")
-    model = M.fit_logistic(train, _schema(train, _SOME), S.TARGET)
+    model = M.fit_logistic(train, _schema(train), S.TARGET)
     return rounded(ranking_metrics(M.add_score(test, model), "score", S.TARGET))
 
 
@@ -149,7 +148,7 @@ def _(spark, folder):
 def _(spark, folder):
     train, validation = features(spark, folder, "train"), features(spark, folder, "validation")
     ranges = {**search.SEARCH_RANGES, "max_depth": (2, 3, "integer"), "num_round": (2, 3, "integer")}
-    trials, _best = search.random_search(train, validation, _schema(train, _SOME), S.TARGET, trials=2, parallelism=2, ranges=ranges)
+    trials, _best = search.random_search(train, validation, _schema(train), S.TARGET, trials=2, parallelism=2, ranges=ranges)
     return trials
 
 
@@ -174,7 +173,7 @@ def _(spark, folder):
 @query("m9_calibrated_scores")
 def _(spark, folder):
     train, validation = features(spark, folder, "train"), features(spark, folder, "validation")
-    model = M.fit_boosted(train, _schema(train, _SOME), S.TARGET, SMALL)
+    model = M.fit_boosted(train, _schema(train), S.TARGET, SMALL)
     a, b = M.fit_platt(M.add_score(validation, model), "score", S.TARGET)
     calibrated = M.add_score(features(spark, folder, "test"), model).withColumn("calibrated", platt(F.col("score"), a, b))
     return calibrated.select("encounter_id", "score", "calibrated")
@@ -197,7 +196,7 @@ def _(spark, folder):
 def _bundle(spark: SparkSession, folder: str) -> M.Bundle:
     """Fit on train, calibrate and freeze on validation, save, load again."""
     train, validation = features(spark, folder, "train"), features(spark, folder, "validation")
-    schema = _schema(train, _SOME)
+    schema = _schema(train)
     model = M.fit_boosted(train, schema, S.TARGET, SMALL)
     scored = M.add_score(validation, model)
     a, b = M.fit_platt(scored, "score", S.TARGET)
@@ -235,13 +234,13 @@ def _(spark, folder):
 @query("m13_column_ablation")
 def _(spark, folder):
     train, test = features(spark, folder, "train"), features(spark, folder, "test")
-    return rounded(attribution.ablate(train, test, _SOME, "race", S.TARGET, params=SMALL))
+    return rounded(attribution.ablate(train, test, feature_names(train.columns), "race", S.TARGET, params=SMALL))
 
 
 @query("m14_linear_attribution")
 def _(spark, folder):
     train = features(spark, folder, "train")
-    schema = _schema(train, _SOME)
+    schema = _schema(train)
     model = M.fit_logistic(train, schema, S.TARGET)
     return rounded(attribution.linear_attribution(model, schema, features(spark, folder, "production"), "encounter_id"))
 
@@ -249,7 +248,7 @@ def _(spark, folder):
 @query("m14_permutation_importance")
 def _(spark, folder):
     train = features(spark, folder, "train")
-    schema = _schema(train, _SOME)
+    schema = _schema(train)
     model = M.fit_boosted(train, schema, S.TARGET, SMALL)
     return rounded(attribution.permutation_importance(model, schema, features(spark, folder, "production"), S.TARGET, "encounter_id"))
 
@@ -257,7 +256,7 @@ def _(spark, folder):
 @query("f5_fairness_report")
 def _(spark, folder):
     train, production = features(spark, folder, "train"), features(spark, folder, "production")
-    schema = _schema(train, _SOME)
+    schema = _schema(train)
     model = M.fit_logistic(train, schema, S.TARGET)
     flagged = M.add_score(production, model).withColumn("p", (F.col("score") >= 0.35).cast("int"))
     bias = bias_metrics(flagged, {"race": None, "gender": ["Female"]}, S.TARGET, "p")
@@ -272,18 +271,22 @@ def _(spark, folder):
 @query("z5_evaluation_job")
 def _(spark, folder):
     parts = {name: features(spark, folder, name) for name in ("train", "validation", "test")}
-    models = jobs.fit_models(parts["train"], parts["validation"], _schema(parts["train"], _SOME), S.TARGET, SMALL)
+    models = jobs.fit_models(parts["train"], parts["validation"], _schema(parts["train"]), S.TARGET, SMALL)
     scored = {}
     for name in ("validation", "test"):
         # Written once: the evaluation reads every scored frame several times.
         path = work_path(spark, f"scored-{name}")
         jobs.score_all(parts[name], models, S.TARGET, "encounter_id", ("race", "gender", "age_ordinal")).write.parquet(path)
         scored[name] = spark.read.parquet(path)
-    return jobs.evaluation_report(scored["validation"], scored["test"], S.TARGET, "encounter_id")["comparison"]
+    report = jobs.evaluation_report(scored["validation"], scored["test"], S.TARGET, "encounter_id")
+    keys = {"comparison": ["model"], "metrics": ["model"], "subgroups": ["column", "value"], "calibration": ["bin"]}
+    return rounded(union_by_name([long_report(report[name], own, name) for name, own in keys.items()]))
 
 
 @query("z7_model_quality_job")
 def _(spark, folder):
     report = monitor_jobs.model_quality_job(
         _bundle(spark, folder), features(spark, folder, "validation"), features(spark, folder, "production"), "encounter_id", S.TARGET)
-    return rounded(report["current"])
+    sides = [report[name].select(F.lit(name).alias("report"), "metric", "value") for name in ("baseline", "current")]
+    worse = report["violations"].select(F.lit("violations").alias("report"), "metric", F.col("current").alias("value"))
+    return rounded(union_by_name([*sides, worse]))

@@ -12,8 +12,8 @@ from ..operators.cleaning import binary_target, clean_and_transform
 from ..operators.profiling import group_counts, numeric_statistics, value_counts, value_share
 from ..operators.splitting import assign_hash_split
 from ..plans import features as jobs, monitoring as monitor_jobs
-from ..session import work_path
-from ..streaming.alerts import EventRule, route_events, threshold_alarms
+from ..session import materialise, work_path
+from ..streaming.alerts import EventRule, job_failure_rules, route_events, threshold_alarms
 from .aggregates import _BIAS, rounded
 from .registry import query
 from .sql import check, split_case
@@ -103,20 +103,24 @@ def _(spark, folder):
 SELECT count(*) AS n_in, count(*) AS n_out, 1 AS row_count_matches, CAST(bool_and(score BETWEEN 0 AND 1) AS INT) AS scores_in_range, 1 AS no_skew,
   CAST(bool_and(score BETWEEN 0 AND 1) AS INT) AS passed FROM records"""))
 def _(spark, folder):
-    df = records(spark, folder).select("id", "score")
-    again = df.withColumn("score", F.col("score") + F.lit(1e-6))
-    result = gates.scoring_smoke_test(df, df, again, "id", "score")
+    inputs = records(spark, folder).select("id", "price")
+    logit = lambda price: (F.lit(1.0) / (F.lit(1.0) + F.exp(-(price / F.lit(100000.0) - F.lit(3.0))))).alias("score")
+    scored = materialise(inputs.select("id", logit(F.col("price").cast("double"))), "scored")  # as the batch job leaves it
+    again = inputs.repartition("id").select("id", logit(F.col("price").cast("double") + F.lit(1e-4)))  # by another path
+    result = gates.scoring_smoke_test(inputs, scored, again, "id", "score")
     flags = ["row_count_matches", "scores_in_range", "no_skew", "passed"]
     return result.select("n_in", "n_out", *[F.col(c).cast("int").alias(c) for c in flags])
 
 
 # --- data-quality monitor -----------------------------------------------------------------------------------------
 
-_DQ = ["race", "payer_code", "diag_1", "diag_2", "time_in_hospital", "medical_specialty"]
-_DQ_CATEGORICAL = ["race", "payer_code", "medical_specialty", "diag_2"]
-_LONG = " UNION ALL ".join(f"SELECT split, '{c}' AS \"column\", nullif(\"{c}\", '?') AS value FROM enc" for c in _DQ)
-_DQ_SQL = f"""enc AS (SELECT *, CASE WHEN CAST(encounter_id AS BIGINT) % 2 = 0 THEN 'train' ELSE 'production' END AS split FROM encounters),
-long AS ({_LONG}),
+_DQ = [c for c in S.ENCOUNTER_COLUMNS if c not in ("encounter_id", "patient_nbr", "readmitted")]
+_DQ_CATEGORICAL = [c for c in _DQ if c not in S.COUNTER_COLUMNS]
+def _dq_sql(rows: str, columns: list[str], categorical: list[str]) -> str:
+    """Profiles and checks of ``rows`` (with a split column) as common table expressions."""
+    long = " UNION ALL ".join(f"SELECT split, '{c}' AS \"column\", nullif(CAST(\"{c}\" AS VARCHAR), '?') AS value FROM enc" for c in columns)
+    return f"""enc AS ({rows}),
+long AS ({long}),
 typed AS (SELECT *, CASE WHEN regexp_matches(trim(value), '^[+-]?[0-9]+$') THEN 'integral'
   WHEN regexp_matches(trim(value), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN 'fractional' WHEN value IS NOT NULL THEN 'text' END AS t FROM long),
 profile AS (SELECT split, "column", count(*) AS n, count(*) - count(value) AS n_null, count(value) / CAST(count(*) AS DOUBLE) AS completeness, count(DISTINCT value) AS n_distinct,
@@ -128,7 +132,7 @@ tops AS (SELECT "column", greatest(share_integral, share_fractional, share_text)
   WHEN share_integral THEN 'integral' WHEN share_fractional THEN 'fractional' ELSE 'text' END AS t FROM b WHERE n > n_null),
 match AS (SELECT p."column", count(*) AS n, CAST(sum(CASE WHEN k.value IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_known, count(DISTINCT CASE WHEN k.value IS NULL THEN p.value END) AS n_unseen_values
   FROM long p LEFT JOIN (SELECT DISTINCT "column", value FROM long WHERE split = 'train' AND value IS NOT NULL) k ON k."column" = p."column" AND k.value = p.value
-  WHERE p.split = 'production' AND p.value IS NOT NULL AND p."column" IN ({', '.join(f"'{x}'" for x in _DQ_CATEGORICAL)}) GROUP BY 1),
+  WHERE p.split = 'production' AND p.value IS NOT NULL AND p."column" IN ({', '.join(f"'{x}'" for x in categorical)}) GROUP BY 1),
 completeness AS (SELECT c."column" AS feature, 'completeness_check' AS constraint_check_type, printf('completeness %.6f below baseline %.6f', c.completeness, b.completeness) AS description
   FROM b JOIN c USING ("column") WHERE c.completeness < b.completeness),
 types AS (SELECT c."column" AS feature, 'data_type_check' AS constraint_check_type, printf('share of %s values %.6f below baseline %.6f', t,
@@ -138,9 +142,16 @@ categories AS (SELECT "column" AS feature, 'categorical_values_check' AS constra
   FROM match WHERE n_known < n)"""
 
 
+_DQ_SQL = _dq_sql("""SELECT * REPLACE (CASE WHEN CAST(encounter_id AS BIGINT) % 10 = 1 THEN num_procedures || ' times' ELSE num_procedures END AS num_procedures),
+  CASE WHEN CAST(encounter_id AS BIGINT) % 2 = 0 THEN 'train' ELSE 'production' END AS split FROM encounters""", _DQ, _DQ_CATEGORICAL)
+
+
 def _halves(spark, folder):
+    """Even ids against odd ones, where a counter has begun to arrive as text."""
     df = null_markers(encounters(spark, folder))
-    even = F.col("encounter_id").cast("bigint") % 2 == 0
+    number = F.col("encounter_id").cast("bigint")
+    worded = F.when(number % 10 == 1, F.concat("num_procedures", F.lit(" times"))).otherwise(F.col("num_procedures"))
+    df, even = df.withColumn("num_procedures", worded), number % 2 == 0
     return df.where(even), df.where(~even)
 
 
@@ -276,6 +287,21 @@ def _(spark, folder):
     return route_events(table(spark, folder, "events"), _RULES, "props").select("event_id", "rule")
 
 
+@query("t1_job_failures", """
+SELECT event_id, 'job-failure-' || lower(CASE event_type WHEN 'click' THEN 'ClickStatus' ELSE 'ViewStatus' END) AS rule FROM events
+WHERE event_type IN ('click', 'view') AND CAST(json_extract_string(props, '$.k') AS INT) % 5 IN (0, 1)""")
+def _(spark, folder):
+    """State changes as a bus delivers them: a source, a detail type, and the status inside a JSON detail."""
+    k = F.get_json_object("props", "$.k").cast("int") % 5
+    state = F.when(k == 0, "Failed").when(k == 1, "Stopped").otherwise("Completed")
+    kind = F.initcap("event_type")
+    detail = F.to_json(F.map_from_arrays(F.array(F.concat(kind, F.lit("Status")), F.lit("nested")), F.array(state, F.col("props"))))
+    events = table(spark, folder, "events").select(
+        "event_id", F.lit("jobs").alias("source"), F.concat(kind, F.lit(" Job State Change")).alias("detail_type"), detail.alias("detail"))
+    rules = job_failure_rules("jobs", {"Click Job State Change": "ClickStatus", "View Job State Change": "ViewStatus"})
+    return route_events(events, rules, "detail").select("event_id", "rule")
+
+
 _ALARMS = """SELECT time_bucket(INTERVAL '60 seconds', ts) AS period_start, event_type, round(avg(value), 6) AS average, count(*) AS n
 FROM events GROUP BY 1, 2 HAVING avg(value) > 20"""
 
@@ -290,15 +316,16 @@ def _(spark, folder):
     source = table(spark, folder, "events")
     sink, state = work_path(spark, "alarms"), work_path(spark, "alarms-state")
     copy = work_path(spark, "events")
-    # Everything but the newest event first, then an event far ahead that closes the last period.
-    source.write.parquet(copy)
-    latest = source.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    # Shuffled over many files, one per trigger, so rows are late by up to the span of the table: the watermark allows for
+    # that. An event far ahead then closes the last period.
+    source.repartition(8, F.xxhash64("event_id")).write.parquet(copy)
+    latest = source.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts"))
     closing = latest.select(F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(-1).cast("bigint").alias("user_id"),
                             F.lit("closing").alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
 
     def run() -> None:
-        stream = spark.readStream.schema(source.schema).parquet(copy)
-        alarms = threshold_alarms(stream, "ts", "event_type", "value", 20.0, watermark="1 minute")
+        stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(copy)
+        alarms = threshold_alarms(stream, "ts", "event_type", "value", 20.0, watermark="365 days")
         query_ = (alarms.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state)
                   .outputMode("append").trigger(availableNow=True).start())
         query_.awaitTermination()
@@ -379,25 +406,20 @@ def _(spark, folder):
         F.count(F.when(F.col("race") == "Missing", 1)).alias("n_race_missing"), F.sum("prior_visits_total").alias("visits"))
 
 
-_MONITORED = ["race", "payer_code", "medical_specialty", "diag_1", "diag_2", "diag_3", "admission_source", "discharge_disposition"]
-_Z6 = " UNION ALL ".join(f"SELECT split, '{c}' AS \"column\", {c} AS value FROM clean" for c in _MONITORED)
+_MONITORED = [c for c in _FEATURES if c not in ("encounter_id", "patient_nbr", "readmit_30")]
 
 
-@query("z6_data_quality_job", check(f"""WITH long AS ({_Z6}),
-typed AS (SELECT *, CASE WHEN regexp_matches(trim(value), '^[+-]?[0-9]+$') THEN 'integral'
-  WHEN regexp_matches(trim(value), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN 'fractional' WHEN value IS NOT NULL THEN 'text' END AS t FROM long),
-p AS (SELECT split, "column", count(value) / CAST(count(*) AS DOUBLE) AS completeness, count(*) FILTER (t = 'integral') / CAST(count(value) AS DOUBLE) AS i,
-  count(*) FILTER (t = 'fractional') / CAST(count(value) AS DOUBLE) AS f, count(*) FILTER (t = 'text') / CAST(count(value) AS DOUBLE) AS x FROM typed GROUP BY 1, 2),
-both_ AS (SELECT b."column", b.completeness AS bc, c.completeness AS cc, greatest(b.i, b.f, b.x) AS top,
-  CASE greatest(b.i, b.f, b.x) WHEN b.i THEN c.i WHEN b.f THEN c.f ELSE c.x END AS now FROM p b JOIN p c ON b."column" = c."column" AND b.split = 'train' AND c.split = 'production'),
-unseen AS (SELECT DISTINCT p."column" FROM long p WHERE p.split = 'production' AND p.value IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM long k WHERE k.split = 'train' AND k."column" = p."column" AND k.value = p.value))
-SELECT "column" AS feature, 'completeness_check' AS constraint_check_type FROM both_ WHERE cc < bc
-UNION ALL SELECT "column", 'data_type_check' FROM both_ WHERE now < top UNION ALL SELECT "column", 'categorical_values_check' FROM unseen"""))
+@query("z6_data_quality_job", check(f"WITH {_dq_sql('SELECT * FROM clean', _MONITORED, _MONITORED)}, {_VIOLATIONS} SELECT * FROM violations"))
 def _(spark, folder):
     df = clean(spark, folder)
-    found = monitor_jobs.data_quality_job(df.where("split = 'train'"), df.where("split = 'production'"), _MONITORED, _MONITORED)
-    return found.select("feature", "constraint_check_type")
+    return monitor_jobs.data_quality_job(df.where("split = 'train'"), df.where("split = 'production'"), _MONITORED, _MONITORED)
+
+
+@query("a19_clean_run_total", "SELECT CAST(NULL AS VARCHAR) AS check_type, CAST(0 AS BIGINT) AS n FROM region LIMIT 1")
+def _(spark, folder):
+    """A data set against itself breaks no constraint; the total says so."""
+    half = _halves(spark, folder)[0]
+    return M.violation_counts(M.data_quality_violations(half, half, _DQ, _DQ_CATEGORICAL))
 
 
 @query("z8_publish_metrics", check(f"WITH {_POINTS} SELECT name, count(*) AS n, round(sum(value), 5) AS total FROM points GROUP BY name"))

@@ -11,6 +11,7 @@ from ..functions.nulls import texts
 from ..operators import decoding, monitoring, worklist
 from ..operators.evaluation import comparison_table, score_columns_to_rows
 from ..operators.features import coerce_for_feature_table
+from ..plans import monitoring as monitor_inputs
 from ..sources import catalog, csv, manifest as M, reports, stacked
 from ..session import materialise, work_path
 from .aggregates import _FULL, _LEVELS, rounded
@@ -48,6 +49,20 @@ def _(spark, folder):
     return csv.read_csv(spark, path, S.all_strings(names)).withColumnRenamed("A1Cresult", "a1c")
 
 
+_ANY_TEXT = """SELECT doc_id, text || ' "quoted", back\\slash,' AS text, CASE doc_id % 4 WHEN 0 THEN '250d' WHEN 1 THEN '12f' WHEN 2 THEN ' 4.5 ' ELSE 'inf' END AS number FROM documents"""
+
+
+@query("s1_csv_any_text", _ANY_TEXT.replace("\\\\", "\\"))
+def _(spark, folder):
+    """Quotes, separators, backslashes and line breaks inside cells come back as they were."""
+    path = work_path(spark, "any-text")
+    number = F.when(F.col("doc_id") % 4 == 0, "250d").when(F.col("doc_id") % 4 == 1, "12f").when(F.col("doc_id") % 4 == 2, " 4.5 ").otherwise("inf")
+    text = F.concat("text", F.lit(' "quoted", back\\slash,'))
+    csv.write_csv(table(spark, folder, "documents").select("doc_id", text.alias("text"), number.alias("number")), path)
+    back = csv.read_csv(spark, path, S.all_strings(["number", "doc_id", "text"]), multi_line=True)
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "number")
+
+
 @query("s2_catalog_csv_tables", check("""
 SELECT readmitted, glyburide_metformin, count(*) AS n, count(DISTINCT patient_nbr) AS n_patients
 FROM (SELECT *, "glyburide-metformin" AS glyburide_metformin FROM encounters) GROUP BY 1, 2"""))
@@ -59,6 +74,32 @@ def _(spark, folder):
                      f"FROM {name} GROUP BY 1, 2")
 
 
+_RAW = {"dictionary": S.DIAGNOSIS_DICTIONARY_COLUMNS, **{n: [k, "description"] for n, k in S.DIMENSIONS.items()}}
+
+
+@query("s2_all_raw_tables", check("""
+SELECT 'encounters' AS name, count(*) AS n, count(DISTINCT patient_nbr) AS n_keys FROM encounters
+UNION ALL SELECT 'dictionary', count(*), count(DISTINCT p_partkey) FROM part
+UNION ALL SELECT t.name, count(*), count(DISTINCT dim_id) FROM dimension, (VALUES ('admission_type'), ('discharge_disposition'), ('admission_source')) t(name) GROUP BY t.name"""))
+def _(spark, folder):
+    """The encounters, the diagnosis dictionary and the three id maps, all registered from CSV folders."""
+    part = table(spark, folder, "part")
+    frames = {"encounters": encounters(spark, folder), "dictionary": part.select(
+        F.col("p_partkey").cast("string").alias("dgns_cd"), F.col("p_name").alias("longdesc"), F.col("p_brand").alias("shortdesc"),
+        F.lit("9").alias("version"), F.lit("2014").alias("fyear"))}
+    frames |= {n: dimension(spark, folder, k).select(k, "description") for n, k in S.DIMENSIONS.items()}
+    keys = {"encounters": "patient_nbr", "dictionary": "dgns_cd", **S.DIMENSIONS}
+    tables, names = {}, {}
+    for kind, frame in frames.items():
+        full, path = _table(spark, f"raw-{kind}")
+        csv.write_csv(frame, path)
+        names[kind], tables[full.split(".")[1]] = full, (path, frame.columns)
+    catalog.create_csv_tables(spark, DATABASE, tables)
+    return csv.union_by_name([
+        spark.table(names[kind]).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("n_keys")).select(
+            F.lit(kind).alias("name"), "n", "n_keys") for kind, key in keys.items()])
+
+
 @query("s3_stacked_tables", """
 SELECT n_name || CASE n_nationkey WHEN 3 THEN ', quoted' ELSE '' END AS nation, CASE r_regionkey WHEN 2 THEN 'NULL' ELSE r_name END AS region, count(*) AS n
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
@@ -116,13 +157,10 @@ def _(spark, folder):
 @query("s7_multi_part_csv", check("SELECT status, count(*) AS n, round(avg(price), 4) AS mean_price FROM records GROUP BY status"))
 def _(spark, folder):
     df, path = records(spark, folder).select("id", "status", "price"), work_path(spark, "parts")
-    for status in ("F", "O", "P"):
-        csv.write_csv(df.where(F.col("status") == status), f"{path}/{status}")
+    df.withColumn("part", F.col("status")).write.partitionBy("part").option("header", True).csv(path)  # a folder per status
     schema = T.StructType([df.schema["id"], df.schema["status"], df.schema["price"]])
-    back = spark.read.schema(schema).option("header", True).csv([f"{path}/F", f"{path}/O"])
-    last = spark.read.schema(schema).option("header", True).csv(f"{path}/P")
-    both = csv.union_by_name([back, last])
-    return both.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 4).alias("mean_price"))
+    back = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(path)
+    return back.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 4).alias("mean_price"))
 
 
 @query("s8_split_csv_export", check("SELECT counter, coarse_score, label, count(*) AS n FROM split_records WHERE split = 'train' GROUP BY ALL"))
@@ -167,12 +205,10 @@ def _(spark, folder):
 
 
 @query("s12_headerless_typed_csv", check("""
-SELECT encounter_id, CASE WHEN regexp_matches(diag_1, '^[0-9.]+$') THEN CAST(diag_1 AS DOUBLE) END AS value FROM encounters
-WHERE diag_1 IN ('?', 'abc', 'V58.49', 'E885.9', '250.83', '459.81') OR regexp_matches(diag_1, '^[0-9]+$')"""))
+SELECT encounter_id, CASE WHEN regexp_matches(trim(diag_1), '^[0-9]+([.][0-9]*)?$') THEN CAST(trim(diag_1) AS DOUBLE) END AS value FROM encounters"""))
 def _(spark, folder):
     path = work_path(spark, "scores")
-    known = F.col("diag_1").isin("?", "abc", "V58.49", "E885.9", "250.83", "459.81") | F.col("diag_1").rlike("^[0-9]+$")
-    csv.write_csv(encounters(spark, folder).where(known).select("encounter_id", "diag_1"), path, header=False)
+    csv.write_csv(encounters(spark, folder).select("encounter_id", "diag_1"), path, header=False)
     schema = T.StructType([T.StructField("encounter_id", T.StringType()), T.StructField("value", T.DoubleType())])
     return csv.read_typed_csv(spark, path, schema)
 
@@ -226,11 +262,31 @@ def _(spark, folder):
         F.count(F.lit(1)).alias("n"), F.round(F.avg("probability"), 6).alias("mean_probability"))
 
 
+@query("s16_feature_inputs", check("""
+SELECT race, time_in_hospital, count(*) AS n FROM clean WHERE split = 'train' GROUP BY ALL"""))
+def _(spark, folder):
+    """The feature-only input of the data-quality monitor: neither ids nor target."""
+    path = work_path(spark, "baseline")
+    monitor_inputs.feature_input(clean(spark, folder).where("split = 'train'")).write.parquet(path)
+    back = spark.read.parquet(path)
+    assert S.TARGET not in back.columns and "encounter_id" not in back.columns
+    return back.groupBy("race", "time_in_hospital").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s16_bias_inputs", check("""
+SELECT priority, status, label, CAST(score >= CAST(0.7 AS DOUBLE) AS INT) AS prediction, count(*) AS n FROM records GROUP BY ALL"""))
+def _(spark, folder):
+    """The bias input: facets, label and 0/1 prediction."""
+    path = work_path(spark, "bias")
+    monitor_inputs.bias_input(records(spark, folder), ["priority", "status"], "label", "score", 0.7).write.parquet(path)
+    return spark.read.parquet(path).groupBy("priority", "status", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("s17_row_count_check", check("SELECT count(*) AS expected, count(*) AS landed FROM records"))
 def _(spark, folder):
     name, path = _table(spark, "landed")
     df = records(spark, folder).select("id", "score")
     catalog.append_features(coerce_for_feature_table(df, 1700000000.0), name, path, 1700000000.0)
-    expected = df.count()
-    landed = catalog.check_row_count(spark, name, expected)
-    return spark.table(name).agg(F.count(F.lit(1)).alias("expected")).withColumn("landed", F.lit(landed).cast("bigint"))
+    expected = df.agg(F.count(F.lit(1)).alias("expected"))
+    landed = catalog.check_row_count(spark, name, expected.first()["expected"])
+    return expected.withColumn("landed", F.lit(landed).cast("bigint"))
