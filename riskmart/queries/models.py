@@ -83,8 +83,7 @@ def _(spark, folder):
 
 
 # Newton's method for the same penalised objective, over cells of equal features.
-_NEWTON_2 = """
-SELECT round(w1, 4) AS w1, round(w2, 4) AS w2, round(b, 4) AS intercept FROM (
+_FIT_2 = """
 WITH RECURSIVE cells AS (SELECT CAST(number_inpatient AS DOUBLE) AS x1, CAST(number_emergency AS DOUBLE) AS x2, CAST(count(*) AS DOUBLE) AS n,
   CAST(sum(readmit_30) AS DOUBLE) AS pos FROM clean WHERE split = 'train' GROUP BY 1, 2),
 fit AS (SELECT 0 AS i, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2, CAST(0 AS DOUBLE) AS b
@@ -97,7 +96,10 @@ FROM (SELECT *, h11 * (h22 * h33 - h23 * h23) - h12 * (h12 * h33 - h13 * h23) +
     sum(n * p * (1 - p) * x1 * x1) + 1 AS h11, sum(n * p * (1 - p) * x1 * x2) AS h12, sum(n * p * (1 - p) * x1) AS h13,
     sum(n * p * (1 - p) * x2 * x2) + 1 AS h22, sum(n * p * (1 - p) * x2) AS h23, sum(n * p * (1 - p)) AS h33
   FROM (SELECT *, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + b))) AS p FROM fit, cells WHERE i < 15) GROUP BY i, w1, w2, b)))
-SELECT * FROM fit WHERE i = 15)"""
+SELECT * FROM fit WHERE i = 15"""
+_NEWTON_2 = f"SELECT round(w1, 4) AS w1, round(w2, 4) AS w2, round(b, 4) AS intercept FROM ({_FIT_2})"
+_SCORED_2 = f"""scored AS (SELECT c.*, 1 / (1 + exp(-(w1 * number_inpatient + w2 * number_emergency + b))) AS s FROM clean c, ({_FIT_2}) f)"""
+_CELLS_2 = """count(*) FILTER (p = 0 AND y = 0) AS tn, count(*) FILTER (p = 1 AND y = 0) AS fp, count(*) FILTER (p = 0 AND y = 1) AS fn, count(*) FILTER (p = 1 AND y = 1) AS tp"""
 
 
 @query("m4_two_feature_logistic", check(_NEWTON_2))
@@ -107,7 +109,13 @@ def _(spark, folder):
     return spark.createDataFrame([(round(weights[0], 4), round(weights[1], 4), round(intercept, 4))], "w1 double, w2 double, intercept double")
 
 
-@query("m4_two_feature_logistic_metrics")
+@query("m4_two_feature_logistic_metrics", check(f"""WITH {_SCORED_2},
+cells AS (SELECT {_CELLS_2} FROM (SELECT readmit_30 AS y, CAST(s >= 0.5 AS INT) AS p FROM scored WHERE split = 'validation')),
+r AS (SELECT *, coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0) AS pr, coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0) AS re FROM cells)
+SELECT tn, fp, fn, tp, round((tp + tn) / CAST(tn + fp + fn + tp AS DOUBLE), 6) AS accuracy, round(pr, 6) AS precision, round(re, 6) AS recall,
+  round(coalesce(2 * pr * re / nullif(pr + re, 0), 0), 6) AS f1, round(coalesce(1.25 * pr * re / nullif(0.25 * pr + re, 0), 0), 6) AS f0_5,
+  round(coalesce(5 * pr * re / nullif(4 * pr + re, 0), 0), 6) AS f2, round(re, 6) AS true_positive_rate,
+  round(coalesce(fp / CAST(nullif(fp + tn, 0) AS DOUBLE), 0), 6) AS false_positive_rate, round(coalesce(tn / CAST(nullif(fp + tn, 0) AS DOUBLE), 0), 6) AS true_negative_rate FROM r"""))
 def _(spark, folder):
     train, validation = features(spark, folder, "train"), features(spark, folder, "validation")
     model = M.fit_plain_logistic(train, jobs.BENCHMARK_FEATURES, S.TARGET)
@@ -224,11 +232,11 @@ def _(spark, folder):
         F.countDistinct("encounter_id").alias("n"), F.countDistinct("score").alias("n_scores"))
 
 
-@query("j5_identifier_rides_along")
+@query("j5_identifier_rides_along", check(f"WITH {_SCORED_2} SELECT encounter_id, round(s, 4) AS score FROM scored WHERE split = 'production'"))
 def _(spark, folder):
     train = features(spark, folder, "train")
     model = M.fit_plain_logistic(train, jobs.BENCHMARK_FEATURES, S.TARGET)
-    return M.add_score(features(spark, folder, "production"), model).select("encounter_id", F.round("score", 6).alias("score"))
+    return M.add_score(features(spark, folder, "production"), model).select("encounter_id", F.round("score", 4).alias("score"))
 
 
 @query("m13_column_ablation")
@@ -263,7 +271,18 @@ def _(spark, folder):
     return rounded(fairness_report(bias, attribution.linear_attribution(model, schema, production, "encounter_id")))
 
 
-@query("z4_benchmark_report")
+@query("z4_benchmark_report", check(f"""WITH {_SCORED_2},
+b AS (SELECT split, readmit_30 AS y, CAST(number_inpatient >= 1 AS INT) AS h, s FROM scored WHERE split IN ('train', 'validation')),
+m AS (SELECT 'heuristic' AS model, split, y, CAST(h AS DOUBLE) AS s, h AS p FROM b UNION ALL SELECT 'logistic', split, y, s, CAST(s >= 0.5 AS INT) FROM b),
+cells AS (SELECT model, split, {_CELLS_2} FROM m GROUP BY 1, 2),
+levels AS (SELECT model, split, round(s, 12) AS s, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg FROM m GROUP BY ALL),
+running AS (SELECT *, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn FROM levels WINDOW w AS (PARTITION BY model, split ORDER BY s DESC)),
+ranked AS (SELECT model, split, sum(pos * cp / (cp + cn)) / sum(pos) AS pr_auc, 1 - sum(pos * (cn - neg / 2)) / (sum(pos) * sum(neg)) AS roc_auc FROM running GROUP BY 1, 2),
+wide AS (SELECT model, split, (tp + tn) / CAST(tn + fp + fn + tp AS DOUBLE) AS accuracy, coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0) AS recall,
+  coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0) AS precision, pr_auc, roc_auc FROM cells JOIN ranked USING (model, split)),
+base AS (SELECT split, CAST(1 - avg(y) AS DOUBLE) AS accuracy, CAST(0 AS DOUBLE) AS recall, CAST(0 AS DOUBLE) AS precision, CAST(avg(y) AS DOUBLE) AS pr_auc, CAST(avg(y) AS DOUBLE) AS base_rate FROM b GROUP BY 1)
+SELECT model, split, metric, round(value, 6) AS value FROM (UNPIVOT wide ON accuracy, recall, precision, pr_auc, roc_auc INTO NAME metric VALUE value)
+UNION ALL SELECT 'majority_class', split, metric, round(value, 6) FROM (UNPIVOT base ON accuracy, recall, precision, pr_auc, base_rate INTO NAME metric VALUE value)"""))
 def _(spark, folder):
     return rounded(jobs.benchmark_report(features(spark, folder, "train"), features(spark, folder, "validation"), S.TARGET))
 
