@@ -22,8 +22,10 @@ from .suffixes import rank_by_doubling
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 GAP = 0x110000  # stands between words; no character has this number
-CACHED_WORDS = 400_000
-BATCH_CHARACTERS = 1 << 20
+CACHED_WORDS = 200_000
+CACHED_PAIRS = 500_000
+SLICE_CHARACTERS = 1 << 22  # of texts whose new words are collected
+BATCH_CHARACTERS = 1 << 18  # of words that are indexed together
 _WORD = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")  # no piece crosses a word start or a line break
 
 
@@ -93,6 +95,8 @@ class Vocabulary:
     def stay_apart(self, pair: int) -> bool:
         """Whether two pieces (left * 2**32 + right) side by side are left as they are."""
         if pair not in self.beside:
+            if len(self.beside) >= CACHED_PAIRS:
+                self.beside.clear()
             left, right = self.name(pair >> 32), self.name(pair & 0xFFFFFFFF)
             self.beside[pair] = self.stands_alone(pair & 0xFFFFFFFF) and self.merge(left + right) == [left, right]
         return self.beside[pair]
@@ -135,26 +139,29 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> list[bytes]:
     low, high = _search(text, order, vocabulary)
 
     counts = high - low
-    piece = np.repeat(np.arange(len(counts)), counts)
-    start = order[np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)]
-    number, length = vocabulary.numbers[piece], vocabulary.lengths[piece]
+    shift = np.repeat((low - (np.cumsum(counts) - counts)).astype(np.int32), counts)
+    start = order.astype(np.int32)[np.arange(len(shift), dtype=np.int32) + shift]
+    length = np.repeat(vocabulary.lengths.astype(np.int32), counts)
     known = np.zeros(len(text), bool)
     known[start[length == 1]] = True
-    unknown = np.flatnonzero(~known[:n] & (text[:n] != GAP))
-    start, number = np.r_[start, unknown], np.r_[number, vocabulary.size + text[unknown]]
-    end = np.r_[start[: len(length)] + length, unknown + 1]
+    unknown = np.flatnonzero(~known[:n] & (text[:n] != GAP)).astype(np.int32)
+    number = np.r_[np.repeat(vocabulary.numbers.astype(np.int32), counts), (vocabulary.size + text[unknown]).astype(np.int32)]
+    end = np.r_[start + length, unknown + 1]
+    start = np.r_[start, unknown]
+    del shift, length
 
-    word_start = np.zeros(len(text) + 1, np.int64)
+    word_start = np.zeros(len(text) + 1, np.int32)
     word_start[begins] = begins
     word_start = np.maximum.accumulate(word_start)
     inside = end - word_start[start]  # edges that end at the same distance from their word's start are relaxed together
     by_end = np.argsort(inside, kind="stable")
     start, number, end, inside = start[by_end], number[by_end], end[by_end], inside[by_end]
     cuts = np.flatnonzero(np.diff(inside)) + 1
+    del by_end, inside
     last = np.full(len(text) + 1, -1, np.int64)  # the piece that ends at each place
     begin = np.full(len(text) + 1, -1, np.int64)
     for first, stop in zip(np.r_[0, cuts], np.r_[cuts, len(start)]):
-        s, p, e = start[first:stop], number[first:stop], end[first:stop]
+        s, p, e = start[first:stop], number[first:stop].astype(np.int64), end[first:stop]
         initial = s == word_start[s]
         pairs = np.where(initial, -1 - p, (last[s] << 32) | p)
         distinct, back = np.unique(pairs, return_inverse=True)
@@ -188,20 +195,37 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.words = vocabulary, {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_WORD.findall(BLANK + text.replace(" ", BLANK)) if text else [] for text in texts]
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        return _WORD.findall(BLANK + text.replace(" ", BLANK)) if text else []
+
+    def _learn(self, texts: list[str]) -> None:
         if len(self.words) > CACHED_WORDS:
             self.words = {}
+        found: set[str] = set()
+        for text in texts:
+            found.update(self._split(text))
         new, size = [], 0
-        for word in sorted(set().union(*split) - self.words.keys()):
+        for word in sorted(found - self.words.keys()):
             new.append(word)
             size += len(word)
             if size > BATCH_CHARACTERS:
                 self.words.update(zip(new, encode_words(new, self.vocabulary)))
                 new, size = [], 0
         self.words.update(zip(new, encode_words(new, self.vocabulary)))
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out, at = [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE_CHARACTERS):
+                size += len(texts[end])
+                end += 1
+            self._learn(texts[at:end])
+            known = self.words.__getitem__
+            out += [b"".join(map(known, self._split(text))) for text in texts[at:end]]
+            at = end
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -210,6 +234,12 @@ def vocabulary_of(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder and the words it has met stay with the Python worker."""
+    return Encoder(vocabulary_of(path))
+
+
 def decode_ids(ids: bytes, vocabulary: Vocabulary) -> str:
     """Text of little-endian 32-bit ids; the blank that every text is given before encoding is taken off."""
     plain = b"".join(map(vocabulary.plain.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -237,7 +267,7 @@ def encode(docs: DataFrame, text_column: str = "text", ids_column: str = "ids",
     path = model or default_model()
 
     def convert():
-        encoder = Encoder(vocabulary_of(path))
+        encoder = encoder_of(path)
         return lambda texts: pa.array(encoder.encode([t or "" for t in texts.to_pylist()]), pa.binary())
 
     return _append(docs, text_column, ids_column, T.BinaryType(), convert)
