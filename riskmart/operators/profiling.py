@@ -160,7 +160,8 @@ def exact_quantiles(
         F.max(F.when(holds(high), F.col("value"))).alias("_high"),
         F.max(F.col("_at") - low).alias("_part"),
     )
-    return ends.select(*by, "q", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias("value"))
+    between = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")  # of equal infinities not a number
+    return ends.select(*by, "q", F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(between).alias("value"))
 
 
 def clipped_histogram(df: DataFrame, column: str, q: float = 0.99, bins: int = 30) -> DataFrame:

@@ -124,3 +124,82 @@ def test_split_job(spark, raw, dimensions, tmp_path):
                              proportion_tolerance=1.0, prevalence_tolerance=1.1)
     assert out["gates"].where("not passed").count() == 0
     assert spark.table("split_job").count() == 3 and "split" in spark.table("split_job").columns
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('b,a\n"say ""x"", d:\\",1\n')
+    schema = S.all_strings(["a", "b"])
+    assert csv.read_csv(spark, str(tmp_path / "a.csv"), schema).collect() == [("1", 'say "x", d:\\')]
+    with pytest.raises(Exception, match="(?i)column|cannot be resolved"):
+        csv.read_csv(spark, str(tmp_path / "a.csv"), S.all_strings(["a", "c"])).collect()
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "two" / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv.read_csv(spark, str(tmp_path / "two"), schema).collect()
+
+
+def test_csv_line_breaks(spark, tmp_path):
+    rows = [("1", 'x\ny "z"'), ("2", "plain")]
+    path = str(tmp_path / "out")
+    csv.write_csv(spark.createDataFrame(rows, "a string, b string"), path)
+    schema = S.all_strings(["a", "b"])
+    assert sorted(map(tuple, csv.read_csv(spark, path, schema, multi_line=True).collect())) == rows
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv.read_csv(spark, path, schema).collect()
+
+
+def test_typed_csv_knows_what_a_number_is(spark, tmp_path):
+    path = tmp_path / "scores.csv"
+    path.write_text('250d,7\n12f,7.0\n inf,x\n" 4.5 "," 8 "\n1e3,\n')
+    schema = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("n", T.IntegerType())])
+    found = [tuple(r) for r in csv.read_typed_csv(spark, str(path), schema).collect()]
+    assert found == [(None, 7), (None, None), (None, None), (4.5, 8), (1000.0, None)]
+
+
+@pytest.mark.parametrize("name", ["with space.csv", "per%20cent%.csv", "plus+sign.csv", "é.csv"])
+def test_manifest_of_any_file_name(spark, tmp_path, name):
+    (tmp_path / name).write_bytes(b"h\n1\n2\n")
+    row = manifest.manifest(spark, [str(tmp_path)], "now").first()
+    assert (row["sha256"], row["row_count"]) == (hashlib.sha256(b"h\n1\n2\n").hexdigest(), 2)
+
+
+def test_schemes_of_stores():
+    from pyarrow import fs
+
+    assert manifest.file_system("file:/a/b c%20.csv")[1] == "/a/b c%20.csv"
+    try:
+        system, name = manifest.file_system("s3a://bucket/a b.csv")
+    except Exception as error:  # the store itself may be out of reach
+        assert "scheme" not in str(error).lower()
+    else:
+        assert isinstance(system, fs.FileSystem) and name == "bucket/a b.csv"
+
+
+def test_stacked_files_in_blocks(spark, tmp_path):
+    path = tmp_path / "ids.csv"
+    body = "".join(f"{i},text {i}\n" for i in range(3000))
+    path.write_text(f"a,b\n{body},\n\nc,d\n{body}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        tables = stacked.read_stacked(spark, str(path), {"one": ["a", "b"], "two": ["c", "d"]})
+        for name, start in (("one", 2), ("two", 3005)):
+            rows = tables[name].orderBy("line_no").collect()
+            assert [(r[0], r["line_no"]) for r in rows] == [(str(i), start + i) for i in range(3000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_work_folder_is_empty_afterwards(spark):
+    from riskmart import session
+
+    session.materialise(spark.range(3), "check")
+    root = session.work_root(spark).removeprefix("file:")
+    assert root.startswith(session.shared_folder(spark).removeprefix("file:"))
+    import os
+
+    assert os.listdir(root)
+    path = session.work_path(spark, "one")
+    spark.range(1).write.parquet(path)
+    session.remove_path(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
