@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from riskmart import schema as S
 from riskmart.config import DEFAULT_SPLITS
 from riskmart.operators import cleaning, ranking, splitting
 from riskmart.operators.profiling import missing_share, rate_by_groups
+from riskmart.sources import stacked
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -45,11 +47,22 @@ def test_all_subgroup_columns_share_one_scan(orders):
     assert plan(rate_by_groups(df, "y", ["o_orderpriority", "o_orderstatus", "o_custkey"])).count("FileScan") == 1
 
 
-def test_cleaning_has_no_python_and_joins_by_broadcast(raw, dimensions):
+def test_cleaning_has_no_python(raw, dimensions):
     text = plan(cleaning.clean_and_transform(raw, dimensions))
     assert "Python" not in text and "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_dictionaries_from_a_file_are_broadcast(spark, raw, tmp_path):
+    path = tmp_path / "ids.csv"
+    path.write_text("\n,\n".join(f"{key},description\n3,three\n4,four\n" for key in S.DIMENSIONS.values()))
+    dims = stacked.read_stacked(spark, str(path), {n: [k, "description"] for n, k in S.DIMENSIONS.items()})
+    clean = cleaning.clean_and_transform(raw, dims)
+    assert clean.count() == 3
+    clean.collect()
+    final = clean._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in final
+
+
 @pytest.mark.parametrize("name", ["w2_precision_at_k", "e6_full_metrics", "e10_model_comparison", "f2_posttraining_bias", "q12_monitoring_run",
                                   "a12_clipped_histogram", "j4_entity_split_assignment", "w8_seeded_sample", "q5_all_gates"])
 def test_no_nested_loops(spark, name):
