@@ -178,7 +178,11 @@ def comparison_table(
     Both inputs are long: ``model, score, label, id``.
     """
     thresholds = alert_volume_threshold(validation, "score", alert_fraction, ["model"])
-    metrics = full_metrics(test, "score", label, id_column, thresholds, ["model"])
+    return headline(full_metrics(test, "score", label, id_column, thresholds, ["model"]))
+
+
+def headline(metrics: DataFrame) -> DataFrame:
+    """The comparison's five numbers from the full metrics of the models."""
     return metrics.select(
         "model", F.round("pr_auc", 4).alias("pr_auc"), F.round("roc_auc", 4).alias("roc_auc"),
         F.round("precision_at_10pct", 4).alias("precision_at_10pct"),

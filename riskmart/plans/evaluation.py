@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import platt
 from ..operators.evaluation import (
-    alert_volume_threshold, calibration_curve, comparison_table, full_metrics, majority_class_metrics,
-    prediction_metrics, score_columns_to_rows, subgroup_metrics,
+    alert_volume_threshold, calibration_curve, full_metrics, headline, majority_class_metrics, prediction_metrics,
+    score_columns_to_rows, subgroup_metrics,
 )
 from ..operators.fairness import long_report
 from ..operators.modeling import FeatureSchema, add_score, fit_boosted, fit_logistic, fit_platt, fit_plain_logistic
 from ..operators.ranking import ranking_metrics
+from ..session import materialise
 
 # The two counters and the rule of the benchmark, its decision threshold, the subgroup columns.
 BENCHMARK_FEATURES = ["number_inpatient", "number_emergency"]
@@ -86,6 +87,9 @@ MODEL_NAMES = {
 }
 
 
+FINAL_MODEL = "Boosted (calibrated)"
+
+
 def evaluation_report(
     validation: DataFrame, test: DataFrame, target: str, id_column: str, alert_fraction: float = 0.10,
     subgroup_columns: tuple[str, ...] = tuple(SUBGROUP_COLUMNS),
@@ -97,12 +101,14 @@ def evaluation_report(
     keep = [target, id_column]
     val_long = score_columns_to_rows(validation, MODEL_NAMES, keep)
     test_long = score_columns_to_rows(test, MODEL_NAMES, keep)
-    thresholds = alert_volume_threshold(val_long, "score", alert_fraction, ["model"])
-    final = alert_volume_threshold(validation, "boosted_calibrated", alert_fraction).scalar()
+    # One row per model each, written once: the tables below read them.
+    thresholds = materialise(alert_volume_threshold(val_long, "score", alert_fraction, ["model"]), "thresholds")
+    metrics = materialise(full_metrics(test_long, "score", target, id_column, thresholds, ["model"]), "metrics")
+    final = thresholds.where(F.col("model") == FINAL_MODEL).select("threshold").scalar()
     at_final = test.withColumn("_threshold", final)
     return {
-        "comparison": comparison_table(val_long, test_long, target, id_column, alert_fraction),
-        "metrics": full_metrics(test_long, "score", target, id_column, thresholds, ["model"]),
+        "comparison": headline(metrics),
+        "metrics": metrics,
         "subgroups": subgroup_metrics(
             at_final, "boosted_calibrated", target, F.col("_threshold"), list(subgroup_columns)),
         "calibration": calibration_curve(test, "boosted_calibrated", target),
