@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,10 +31,10 @@ def op1_cover_tree_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 CHECKS["op1_cover_tree_dedup"] = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
 ), g AS (
   SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v
-  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
@@ -66,6 +67,28 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _rule_sql(order: int, rule: secrets.Rule) -> str:
+    """Matches of one rule with the texts before them; the length rule of a base kind is asked of group or match."""
+    pattern = (("(?i)" if rule.flags & re.IGNORECASE else "") + rule.pattern).replace("'", "''")
+    group = ", 2" if rule.kind == "assign" else ""
+    least = {"assign": 8, "access": 16, "hex": 32}.get(rule.kind, 0)
+    return f"""SELECT doc_id, '{rule.kind}' AS kind, {order} AS ord, {least} AS least, regexp_extract_all(t, '{pattern}') AS m,
+  regexp_extract_all(t, '{pattern}'{group}) AS g, regexp_split_to_array(t, '{pattern}') AS p FROM d"""
+
+
+CHECKS["op2_secret_scan"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+r AS ({" UNION ALL ".join(_rule_sql(order, rule) for order, rule in enumerate(secrets.RULES))}),
+u AS (SELECT doc_id, kind, ord, least, unnest(m) AS m, unnest(g) AS g, unnest(p[1:len(m)]) AS p, unnest(range(len(m))) AS i FROM r WHERE len(m) > 0),
+e AS (SELECT *, CAST(sum(length(p) + length(m)) OVER (PARTITION BY doc_id, ord ORDER BY i) AS BIGINT) AS stop FROM u),
+s AS (SELECT doc_id, kind, ord, stop - length(m) AS start, kind || ':' || (stop - length(m)) || ':' || stop AS span FROM e WHERE length(g) >= least),
+a AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(span, ',' ORDER BY start, ord) FILTER (ord < 3) AS base, string_agg(span, ',' ORDER BY start, ord) AS spans FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a ON a.doc_id = d.doc_id
+"""
+
+
 @_query
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number and digest of the ids of every document, and whether decoding them gives the text back."""
