@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ORDERS = (1, 2, 3)
 BITS = 15
-ROWS_PER_CLASS = 1500  # the documented bound of the fitting sample: this many rows of each language
+ROWS_PER_CLASS = 1500  # the documented size of the fitting sample: about this many rows of each language
 EPOCHS = 4
 CHUNK = 1 << 20
 UNKNOWN = "und"
@@ -161,8 +161,9 @@ def fit_model(
 ) -> Model:
     """Fit on rows with a language and a text that holds a letter, apart from the held-out ones.
 
-    Document frequencies cover all such rows. The fitting sample is the ``rows_per_class`` rows of each language with the
-    smallest hash of the id: a bound on the fit alone. Without any such row the model has no classes.
+    Document frequencies cover all such rows. The fitting sample holds about ``rows_per_class`` rows of each language, those
+    with the smallest hashes of the id, and never more than twice as many in all: a bound on the fit alone. Without any
+    such row the model has no classes.
     """
     train = docs.filter(learnt_from(id_column)).select(
         F.xxhash64(F.col(id_column)).alias("place"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")
@@ -172,13 +173,15 @@ def fit_model(
     for row in frequencies.groupBy("bucket").agg(F.sum("df").alias("df")).collect():  # one row per bucket
         df[row.bucket] = row.df
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    ranked = train.selectExpr("lang", "place", "row_number() OVER (PARTITION BY lang ORDER BY place) AS n")
-    bounds = ranked.filter(F.col("n") <= rows_per_class).groupBy("lang").agg(F.max("place").alias("last")).collect()
-    classes = sorted(row.lang for row in bounds)
+    sizes = {row.lang: row["count"] for row in train.groupBy("lang").count().collect()}
+    classes = sorted(sizes)
     if not classes:
         return Model([], idf, np.zeros((0, (1 << BITS) + 1)), 1.0)
-    chosen = reduce(Column.__or__, [(F.col("lang") == row.lang) & (F.col("place") <= row.last) for row in bounds])
-    sample = train.filter(chosen).select("place", "text", "lang").limit(rows_per_class * len(classes))
+    # Hashes are uniform, so this share of their range holds about ``rows_per_class`` rows; repeated ids share a hash.
+    share = {lang: min(1.0, rows_per_class / n) for lang, n in sizes.items()}
+    last = {lang: min(int(-(2**63) + part * 2**64), 2**63 - 1) for lang, part in share.items()}
+    chosen = reduce(Column.__or__, [(F.col("lang") == lang) & (F.col("place") <= last[lang]) for lang in classes])
+    sample = train.filter(chosen).select("place", "text", "lang").limit(2 * rows_per_class * len(classes))
     fitted = sample.repartition(1).mapInArrow(_fit(classes, idf), "label bigint, bucket bigint, weight double").collect()
     weights, temperature = np.zeros((len(classes), (1 << BITS) + 1)), 1.0
     for row in fitted:  # at most classes x buckets
