@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from riskmart.llm import overlap, simhash
+
+from .conftest import prose
+
+
+def shingle_set(text):
+    words = "".join(c.lower() if c.isascii() else c for c in text or "").split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def components(texts):
+    """Smallest id reachable through pairs of 0.8 and more, by comparing all pairs."""
+    sets, root = {i: shingle_set(t) for i, t in texts}, {i: i for i, _ in texts}
+    changed = True
+    while changed:
+        changed = False
+        for a in root:
+            for b in root:
+                if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[b] < root[a]:
+                    root[a], changed = root[b], True
+    return root
+
+
+def edited(text, seed, share):
+    rng = random.Random(seed)
+    return " ".join(f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in text.split())
+
+
+def edited_texts():
+    """Copies with words changed, so that similarities lie on both sides of 0.8, chains included."""
+    out = []
+    for group in range(12):
+        base = prose(group, 120 + 40 * group)
+        out += [base] + [edited(base, 100 * group + k, k / 150) for k in range(1, 8)]
+    return list(enumerate(out, 1))
+
+
+@pytest.mark.parametrize("block", [1 << 16, 300])  # with 300, groups are cut into blocks
+def test_components_equal_all_pairs(monkeypatch, make_docs, block):
+    monkeypatch.setattr(overlap, "BLOCK", block)
+    texts = edited_texts()
+    expected = components(texts)
+    assert 12 < len(set(expected.values())) < len(texts)
+    assert {r.doc_id: r.component_id for r in overlap.near_duplicates(make_docs(texts)).collect()} == expected
+
+
+def test_stage_drops_copies_that_four_bits_leave(spark, make_docs):
+    texts = edited_texts()
+    four_bits = {r.component_id for r in simhash.near_duplicates(make_docs(texts)).collect()}
+    stay = {r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, make_docs(texts), "").collect()}
+    assert stay == set(components(texts).values()) and len(stay) < len(four_bits)
+
+
+def test_sets_at_the_limit():
+    whole = np.arange(10, dtype=np.uint64)
+    assert [(int(x), near.tolist()) for x, near in overlap.similar([whole, whole[:8]])] == [(0, [1])]
+    assert list(overlap.similar([whole, whole[:7]])) == []
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "a", "A b C d", "Éa é b c d", prose(3, 200) * 2])
+def test_shingles(text):
+    found = overlap.shingles(text)
+    assert len(found) == len(shingle_set(text)) and (np.diff(found.astype(object)) > 0).all()
+
+
+def test_long_sets_in_chunks(monkeypatch):
+    whole = overlap.sketch(overlap.shingles(prose(4, 500)))
+    monkeypatch.setattr(overlap, "CHUNK", 7)
+    assert (overlap.sketch(overlap.shingles(prose(4, 500))) == whole).all()
+
+
+def test_odd_rows(odd_docs):
+    rows = overlap.near_duplicates(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    assert {r.component_id for r in rows if r.doc_id in (1, 5)} == {1}
+    assert {r.component_id for r in rows if r.fp == 0} == {2}  # null, empty and blank, with and without an id
+    assert overlap.near_duplicates(odd_docs.limit(0)).collect() == []
