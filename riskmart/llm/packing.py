@@ -51,14 +51,17 @@ class WordEncoder:
     Blanks and line breaks separate words in this vocabulary's pre-tokenizer and are dropped, so the ids of a text are
     those of its words in order. Punctuation after a letter is a word of its own there, and the case of Latin letters does
     not count, so a word of such letters is a stem and a tail. The stem passes the normaliser and the pre-tokenizer as it
-    is and goes straight to the tokenizer's model, in the byte alphabet of its vocabulary.
+    is and goes straight to the tokenizer's model, in the byte alphabet of its vocabulary. With ``special_as_text`` the
+    strings of added tokens are ordinary text; without it they get their ids wherever they stand, as the tokenizer does.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [] if special_as_text else [token.content for token in added]  # none holds a blank
         self.words: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {"": b""}
         self.tails: dict[str, bytes] = {"": b""}
@@ -88,6 +91,8 @@ class WordEncoder:
         self.words.update(self._whole(odd))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        for string in self.added:
+            texts = [text.replace(string, f" {string} ") for text in texts]
         split = [text.replace("\n", " ").split(" ") for text in texts]
         for known, limit in ((self.words, CACHED_WORDS), (self.stems, CACHED_STEMS), (self.tails, CACHED_WORDS)):
             if len(known) > limit:
@@ -109,7 +114,7 @@ class WordEncoder:
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> WordEncoder:
     """The encoder and the words it has met stay with the Python worker."""
-    return WordEncoder(path)
+    return WordEncoder(path, special_as_text=False)
 
 
 def cut_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:

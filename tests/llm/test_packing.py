@@ -33,6 +33,25 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, text)[:-1], text
 
 
+SPECIAL = [
+    "a <|endoftext|> b", "a<|endoftext|>b", "<|endoftext|><|startoftext|>", "it'<|endoftext|>s.", "e<|startoftext|>\u0301", "<|ENDOFTEXT|>",
+    "<|endoftext |>", "<<|endoftext|>>\n<|startoftext|>", "<|endoftext|>",
+]
+
+
+def test_added_tokens_in_texts(monkeypatch, make_docs):
+    loaded = Tokenizer.from_file(packing.default_tokenizer())
+    assert loaded.encode(SPECIAL[0], add_special_tokens=False).ids == [320, 49407, 321]
+    encoder = packing.WordEncoder(packing.default_tokenizer(), special_as_text=False)
+    for _ in range(2):  # with known words, then with cleared ones
+        for text, ids in zip(SPECIAL, encoder.encode(SPECIAL)):
+            assert np.frombuffer(ids, "<u4").tolist() == loaded.encode(text, add_special_tokens=False).ids, text
+        monkeypatch.setattr(packing, "CACHED_WORDS", 1)
+    for r in packing.pack_documents(make_docs(list(enumerate(SPECIAL)))).collect():
+        ids = np.array(ids_of(loaded, SPECIAL[r.doc_id]), "<u4")
+        assert (r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_small_caches_change_nothing(monkeypatch, tokenizer):
     monkeypatch.setattr(packing, "CACHED_WORDS", 1)
     monkeypatch.setattr(packing, "CACHED_STEMS", 1)
