@@ -43,6 +43,7 @@ KINDS = list(PATTERNS)
 _ALL = "|".join(PATTERNS.values())
 _HINT = rf"@|[0-9][0-9 .()-]{{5}}|(?:{_TITLE})\.? \p{{Lu}}"  # texts without any of these hold no entity
 MAX_DRAWS = 40
+LONGEST = 32  # syllables that a digest of 64 characters gives
 NATIONAL = 10  # digits of a telephone number after the country code
 
 
@@ -110,15 +111,19 @@ def _check_digit(body: Column) -> Column:
 
 
 def _invented_name(name: Column, gender: Column, key: str, draw: Column) -> Column:
-    """Each word becomes an invented one of the same script; of several words the first takes the gender's ending."""
+    """Each word becomes an invented one of the same script; of several words the first takes the gender's ending.
+
+    From the fourth draw on every draw has a syllable more than the one before, so one-word names do not run out.
+    """
     words = F.split(name, " ")
+    places = F.sequence(F.lit(0), F.least(F.greatest(draw + 1, F.lit(3)), F.lit(LONGEST - 1)))
 
     def word(own: Column, place: Column) -> Column:
         seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit("name"), own, draw.cast("string")), 256)
 
         def in_script(syllables: list[str], endings: dict[str, str]) -> Column:
             known = F.array(*map(F.lit, syllables))
-            stem = F.concat(*(F.get(known, _number(seed, 1 + 2 * k, 1).cast("int")) for k in range(4)))
+            stem = F.array_join(F.transform(places, lambda k: F.get(known, _number(seed, 1 + 2 * k, 1).cast("int"))), "")
             ending = F.when(gender == "f", F.lit(endings["f"])).otherwise(F.lit(endings["m"]))
             return F.initcap(F.when((place == 0) & (F.size(words) > 1), F.concat(stem, ending)).otherwise(stem))
 

@@ -62,6 +62,15 @@ def test_short_formats_stay_distinct(make_docs):
     assert len(set(found)) == len(names) and not set(found) & set(names)
 
 
+def test_one_word_names_do_not_run_out(spark):
+    """More names than four syllables of 16 give."""
+    names = spark.range(70_000).selectExpr("'person' AS kind", "concat('m:S', translate(string(id), '0123456789', 'abcdefghij')) AS identity")
+    found = privacy.draw_surrogates(names, KEY)
+    assert found.count() == found.select("surrogate").distinct().count() == 70_000
+    assert found.join(names.select(F.col("identity").alias("surrogate")), "surrogate").isEmpty()
+    assert found.filter(~F.col("surrogate").rlike("^m:[A-Z][a-z]{7,}$")).isEmpty()
+
+
 def test_draws_end_with_an_error(spark, monkeypatch):
     monkeypatch.setattr(privacy, "surrogate_of", lambda kind, identity, key, draw: F.lit("same"))
     with pytest.raises(RuntimeError):
