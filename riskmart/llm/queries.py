@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import archives, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash
+from . import archives, benchmarks, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash
 
 KEY = "a key of the job"  # surrogates depend on it; a real job passes its own secret
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,6 +176,34 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op11_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items, and the items."""
+    found = benchmarks.decontaminate(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "dropped",
+    )
+
+
+_WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+CHECKS["op11_benchmark_decontamination"] = f"""
+WITH i AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, unnest([array_to_string(w[s:s + 9], ' ') FOR s IN range(1, greatest(len(w) - 9, 1) + 1)]) AS g, least(len(w), 10) AS m
+      FROM i WHERE len(w) > 0),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS w FROM documents),
+m AS (SELECT DISTINCT m FROM p),
+g AS (SELECT r, m, unnest([struct_pack(s := s, g := array_to_string(w[s:s + m - 1], ' ')) FOR s IN range(1, len(w) - m + 2)]) AS x FROM d, m WHERE len(w) >= m),
+h AS (SELECT DISTINCT r, x.s AS s, g.m AS m, item_id FROM g JOIN p ON p.g = x.g AND p.m = g.m),
+n AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(s, s + m)) AS pos FROM (SELECT DISTINCT r, s, m FROM h)) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY r),
+spans AS (SELECT d.r, doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items
+      FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN t ON t.r = d.r)
+SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, n_hit > 0 AS contaminated, n_hit > 0.5 * n_words AS dropped FROM spans
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline at the top of the repository, from raw documents to packed pieces."""
