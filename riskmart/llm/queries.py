@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import archives, benchmarks, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash
+from . import archives, benchmarks, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash, trie
 
 KEY = "a key of the job"  # surrogates depend on it; a real job passes its own secret
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,6 +204,41 @@ SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, n_hit > 0
 """
 
 
+@_query
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations with its subtree's totals."""
+    return trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+CHECKS["op12_conversation_trie"] = """
+WITH RECURSIVE tab(i, v, k) AS (
+  SELECT range, range, 0 FROM range(256) UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM tab WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM tab WHERE k = 8),
+t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+      FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT c, c - c % 20 AS g, max(pos) AS n,
+        xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+          lambda a, x: xor(a >> 8, crc.t[(xor(a, x) & 255) + 1]))) % 4 AS h FROM t, crc GROUP BY c, crc.t),
+k AS (SELECT c.c, c.h, least(c.h, coalesce(p.n, 0)) AS taken FROM c LEFT JOIN c p ON p.c = c.g),
+r AS (SELECT k.c, t.pos AS d, role, text FROM k JOIN t ON t.c = k.c - k.c % 20 AND t.pos <= k.taken
+      UNION ALL SELECT k.c, t.pos - k.h + k.taken, role, text FROM k JOIN t ON t.c = k.c AND t.pos > k.h),
+x AS (SELECT c, 0 AS d, CAST([] AS STRUCT(role VARCHAR, text VARCHAR)[]) AS p, 0 AS words, (SELECT count(*) FROM r WHERE r.c = k.c) AS n FROM k
+      UNION ALL SELECT c, d, list({'role': role, 'text': text}) OVER (PARTITION BY c ORDER BY d),
+        len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), count(*) OVER (PARTITION BY c) FROM r),
+n AS (SELECT d, p, min(c) AS c, count(*) AS n_convs, any_value(words) AS words,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256 FROM x GROUP BY d, p),
+e AS (SELECT n.*, u.c AS up FROM n LEFT JOIN n u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1]),
+m AS (SELECT up, d - 1 AS d, count(*) AS n_children FROM e WHERE d > 0 GROUP BY up, d),
+f AS (SELECT e.*, coalesce(n_children, 0) AS n_children FROM e LEFT JOIN m ON m.up = e.c AND m.d = e.d),
+s AS (SELECT x.d, x.p, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved
+      FROM f JOIN x ON x.c = f.c AND x.d <= f.d GROUP BY x.d, x.p)
+SELECT f.c AS conv_id, f.d AS depth, f.up AS parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, ends_sha256 FROM f JOIN s ON s.d = f.d AND s.p = f.p
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline at the top of the repository, from raw documents to packed pieces."""
