@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import archives, benchmarks, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash, trie
+from . import archives, benchmarks, collocations, embeddings, languages, packing, pieces, privacy, quality, repeats, secrets, simhash, trie
 
 KEY = "a key of the job"  # surrogates depend on it; a real job passes its own secret
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,6 +239,35 @@ SELECT f.c AS conv_id, f.d AS depth, f.up AS parent_conv_id, n_convs, n_children
 """
 
 
+@_query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of every language with the counts of their parts."""
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+CHECKS["op13_collocations"] = """
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS t FROM documents),
+p AS (SELECT d, lang, unnest(t) AS t, generate_subscripts(t, 1) AS p FROM d),
+q AS (SELECT d, lang, p, regexp_extract_all(t, '[^\\x20\\x09]+') AS w FROM p),
+w AS (SELECT lang, w[i:least(i + 3, len(w))] AS w FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM q)),
+n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, array_to_string(w[1:k], ' ') AS x, count(*) AS f FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+      GROUP BY lang, k, x HAVING count(*) >= 30),
+s AS (SELECT lang, k AS m, x, f AS a, string_split(x, ' ') AS w FROM f WHERE k > 1),
+u AS (SELECT *, unnest(range(1, m)) AS k FROM s),
+c AS (SELECT u.lang, m, u.x, a, u.k, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+      FROM u JOIN f l ON l.lang = u.lang AND l.x = array_to_string(w[1:u.k], ' ') JOIN f r ON r.lang = u.lang AND r.x = array_to_string(w[u.k + 1:m], ' ')),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, k) = 1),
+i AS (SELECT lang, a, m, w, unnest(range(1, m)) AS i FROM s WHERE m > 2),
+j AS (SELECT lang, a, array_to_string(w[i:i + z - 1], ' ') AS x FROM i, (SELECT unnest([2, 3]) AS z) WHERE z < m AND i + z - 1 <= m),
+o AS (SELECT lang, x, max(a) AS most FROM j GROUP BY lang, x),
+g AS (SELECT b.* FROM b LEFT JOIN o ON o.lang = b.lang AND o.x = b.x WHERE most IS NULL OR 100 * most < 80 * a),
+h AS (SELECT g.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, x) AS rank FROM g)
+SELECT h.lang, rank, x AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM h JOIN n ON n.lang = h.lang WHERE rank <= 2000
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline at the top of the repository, from raw documents to packed pieces."""
