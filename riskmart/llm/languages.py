@@ -7,6 +7,7 @@ calibrates the scores. The model has a fixed size (classes x buckets) and goes t
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
@@ -21,6 +22,8 @@ ROWS_PER_CLASS = 1500  # the documented size of the fitting sample: about this m
 EPOCHS = 4
 CHUNK = 1 << 20
 UNKNOWN = "und"
+ADDED = ["lang_pred", "score", "known"]
+SLICE = 256  # rows that are handled together
 
 
 @dataclass(frozen=True)
@@ -128,15 +131,34 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], ["bucket", "df"])
 
 
-def _fit(classes: list[str], idf: np.ndarray):
+def _sparse(idf: np.ndarray):
+    """Features of every sampled row, computed where the row is read: only the sparse values travel to the fit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                found = [features(text.as_py(), idf) for text in batch.column(1)]
+                tie = [zlib.crc32(text.as_py().encode("utf-8", "surrogatepass")) for text in batch.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(2), pa.array(tie, pa.int64()),
+                     pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))],
+                    ["place", "lang", "tie", "at", "weights"],
+                )
+
+    return run
+
+
+def _fit(classes: list[str]):
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = sorted(
-            (place, text, classes.index(lang))
-            for batch in batches
-            for place, text, lang in zip(*(c.to_pylist() for c in batch.columns))
-        )
-        rows = [features(text, idf) for _, text, _ in sample]
-        labels = np.array([label for _, _, label in sample], np.int64)
+        rows, keys = [], []
+        for batch in batches:
+            place, lang, tie = (batch.column(n).to_pylist() for n in range(3))
+            keys += [(p, l, t) for p, l, t in zip(place, lang, tie)]
+            rows += [tuple(batch.column(n)[row].values.to_numpy(zero_copy_only=False) for n in (3, 4)) for row in range(batch.num_rows)]
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        rows = [rows[i] for i in order]
+        labels = np.array([classes.index(keys[i][1]) for i in order], np.int64)
         held = np.arange(len(rows)) % 5 == 0
         weights = fit_ftrl([r for r, h in zip(rows, held) if not h], labels[~held], len(classes))
         logits = np.array([weights[:, at] @ values + weights[:, -1] for (at, values), h in zip(rows, held) if h])
@@ -181,8 +203,11 @@ def fit_model(
     share = {lang: min(1.0, rows_per_class / n) for lang, n in sizes.items()}
     last = {lang: min(int(-(2**63) + part * 2**64), 2**63 - 1) for lang, part in share.items()}
     chosen = reduce(Column.__or__, [(F.col("lang") == lang) & (F.col("place") <= last[lang]) for lang in classes])
-    sample = train.filter(chosen).select("place", "text", "lang").limit(2 * rows_per_class * len(classes))
-    fitted = sample.repartition(1).mapInArrow(_fit(classes, idf), "label bigint, bucket bigint, weight double").collect()
+    sparse = train.filter(chosen).select("place", "text", "lang").mapInArrow(
+        _sparse(idf), "place bigint, lang string, tie bigint, at array<bigint>, weights array<double>"
+    )
+    sample = sparse.orderBy("place", "lang", "tie").limit(2 * rows_per_class * len(classes))
+    fitted = sample.repartition(1).mapInArrow(_fit(classes), "label bigint, bucket bigint, weight double").collect()
     weights, temperature = np.zeros((len(classes), (1 << BITS) + 1)), 1.0
     for row in fitted:  # at most classes x buckets
         if row.label < 0:
@@ -192,29 +217,35 @@ def fit_model(
     return Model(classes, idf, weights, temperature)
 
 
-def predict(model: Model, text: str | None) -> tuple[str, float]:
+def predict(model: Model, text: str | None) -> tuple[str, float, float]:
+    """(language, score, known): known is the share of the text's n-grams, weighted as features are, that the model weighs."""
     if not text or not model.classes or not has_letter(text):
-        return UNKNOWN, 0.0
+        return UNKNOWN, 0.0, 0.0
     at, values = features(text, model.idf)
-    p = _softmax((model.weights[:, at] @ values + model.weights[:, -1]) / model.temperature)
-    best = int(p.argmax())
-    return model.classes[best], float(p[best])
+    own = model.weights[:, at]
+    p = _softmax((own @ values + model.weights[:, -1]) / model.temperature)
+    best, total = int(p.argmax()), float(values.sum())
+    return model.classes[best], float(p[best]), float(values[(own != 0).any(axis=0)].sum()) / total if total else 0.0
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """All rows and columns with ``lang_pred`` and ``score`` (the calibrated probability) appended.
+    """All rows and columns with ``lang_pred``, ``score`` (the calibrated probability) and ``known`` appended.
 
-    ``und`` with score 0 where the text is null or has no letter, and everywhere if the model knows no language. Columns
-    that had these two names are replaced. Nothing but the text is an input.
+    ``known`` is the share of the text's n-grams the model has a weight for: it tells a learnt language from any other text,
+    which a probability over the learnt languages cannot. ``und`` with score and known 0 where the text is null or has no
+    letter, and everywhere if the model knows no language. Columns that had these names are replaced. Nothing but the text
+    is an input.
     """
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.drop(*ADDED)
     place = kept.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [predict(model, text.as_py()) for text in batch.column(place)]
-            extra = [pa.array([lang for lang, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "lang_pred", "score"])
-
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                found = [predict(model, text.as_py()) for text in batch.column(place)]
+                extra = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *ADDED])
+
+    added = [T.StructField(n, k) for n, k in zip(ADDED, (T.StringType(), T.DoubleType(), T.DoubleType()))]
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
