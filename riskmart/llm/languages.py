@@ -23,10 +23,11 @@ EPOCHS = 4
 CHUNK = 1 << 20
 UNKNOWN = "und"
 ADDED = ["lang_pred", "score", "known"]
+COMMON_IDF = 1 + np.log(200)  # of n-grams that one in 200 training rows holds
 SLICE = 256  # rows that are handled together
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Model:
     classes: list[str]
     idf: np.ndarray
@@ -217,21 +218,27 @@ def fit_model(
     return Model(classes, idf, weights, temperature)
 
 
+@lru_cache(maxsize=1)
+def familiar_buckets(model: Model) -> np.ndarray:
+    """N-gram buckets the model has a weight for, or that are common among the training rows."""
+    return (model.weights[:, :-1] != 0).any(axis=0) | (model.idf <= min(COMMON_IDF, model.idf.max() - 1e-9))
+
+
 def predict(model: Model, text: str | None) -> tuple[str, float, float]:
-    """(language, score, known): known is the share of the text's n-grams, weighted as features are, that the model weighs."""
+    """(language, score, known): known is the share of the text's n-grams, as features, that are weighed or common."""
     if not text or not model.classes or not has_letter(text):
         return UNKNOWN, 0.0, 0.0
     at, values = features(text, model.idf)
     own = model.weights[:, at]
     p = _softmax((own @ values + model.weights[:, -1]) / model.temperature)
     best, total = int(p.argmax()), float(values.sum())
-    return model.classes[best], float(p[best]), float(values[(own != 0).any(axis=0)].sum()) / total if total else 0.0
+    return model.classes[best], float(p[best]), float(values[familiar_buckets(model)[at]].sum()) / total if total else 0.0
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """All rows and columns with ``lang_pred``, ``score`` (the calibrated probability) and ``known`` appended.
 
-    ``known`` is the share of the text's n-grams the model has a weight for: it tells a learnt language from any other text,
+    ``known`` is the share of the text's n-grams that the model has a weight for or that many training rows hold: it tells a learnt language from any other text,
     which a probability over the learnt languages cannot. ``und`` with score and known 0 where the text is null or has no
     letter, and everywhere if the model knows no language. Columns that had these names are replaced. Nothing but the text
     is an input.

@@ -15,15 +15,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .suffixes import rank_by_doubling
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 GAP = 0x110000  # stands between words; no character has this number
-CACHED_WORDS = 200_000
-CACHED_PAIRS = 500_000
+CACHED_WORDS = 150_000
+CACHED_PAIRS = 300_000
+SLICE = 512  # rows that are encoded and decoded together
 SLICE_CHARACTERS = 1 << 22  # of texts whose new words are collected
 BATCH_CHARACTERS = 1 << 18  # of words that are indexed together
 _WORD = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")  # no piece crosses a word start or a line break
@@ -35,6 +36,20 @@ def default_model() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def plain_pieces(model) -> list[bytes]:
+    """What each id decodes to."""
+    plain = []
+    for i in range(model.get_piece_size()):
+        name = model.id_to_piece(i)
+        if model.is_byte(i):
+            plain.append(bytes([int(name[3:5], 16)]))
+        elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+            plain.append(" ⁇ ".encode() if model.is_unknown(i) else b"")
+        else:
+            plain.append(name.replace(BLANK, " ").encode())
+    return plain
+
+
 class Vocabulary:
     """Pieces and scores of a byte-pair model with byte fallback. Unknown characters have the id ``size`` + code point."""
 
@@ -49,22 +64,17 @@ class Vocabulary:
         if any(BLANK in name.lstrip(BLANK) or "\n" in name for name in self.ids):
             raise ValueError("pieces must not run over word starts and line breaks")
         self.names = names
+        self.plain = plain_pieces(model)
         self.scores = {name: model.get_score(i) for name, i in self.ids.items()}
         self.bytes = np.zeros(256, np.int64)
-        self.plain: list[bytes] = []  # what each id decodes to
         for i, name in enumerate(names):
             if model.is_byte(i):
                 self.bytes[int(name[3:5], 16)] = i
-                self.plain.append(bytes([int(name[3:5], 16)]))
-            elif special[i]:
-                self.plain.append(" ⁇ ".encode() if model.is_unknown(i) else b"")
-            else:
-                self.plain.append(name.replace(BLANK, " ").encode())
         ordered = sorted(self.ids, key=lambda name: [ord(c) for c in name])
         self.lengths = np.array([len(name) for name in ordered])
         self.numbers = np.array([self.ids[name] for name in ordered])
         self.longest = int(self.lengths.max())
-        self.symbols = np.full((len(ordered), self.longest), -1, np.int64)
+        self.symbols = np.full((len(ordered), self.longest), -1, np.int32)
         for row, name in enumerate(ordered):
             self.symbols[row, : len(name)] = [ord(c) for c in name]
         self.alone: dict[int, bool] = {}
@@ -200,11 +210,11 @@ class Encoder:
         return _WORD.findall(BLANK + text.replace(" ", BLANK)) if text else []
 
     def _learn(self, texts: list[str]) -> None:
-        if len(self.words) > CACHED_WORDS:
-            self.words = {}
         found: set[str] = set()
         for text in texts:
             found.update(self._split(text))
+        if len(self.words) + len(found) > CACHED_WORDS:
+            self.words = {}
         new, size = [], 0
         for word in sorted(found - self.words.keys()):
             new.append(word)
@@ -228,49 +238,54 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
-def vocabulary_of(path: str) -> Vocabulary:
-    """The vocabulary and what was found out about its pairs stay with the Python worker."""
-    return Vocabulary(path)
-
-
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> Encoder:
     """The encoder and the words it has met stay with the Python worker."""
-    return Encoder(vocabulary_of(path))
+    return Encoder(Vocabulary(path))
+
+
+@lru_cache(maxsize=1)
+def plain_of(path: str) -> list[bytes]:
+    """All that a worker that only decodes has to hold."""
+    import sentencepiece
+
+    return plain_pieces(sentencepiece.SentencePieceProcessor(model_file=path))
 
 
-def decode_ids(ids: bytes, vocabulary: Vocabulary) -> str:
+def decode_ids(ids: bytes, plain: list[bytes]) -> str:
     """Text of little-endian 32-bit ids; the blank that every text is given before encoding is taken off."""
-    plain = b"".join(map(vocabulary.plain.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-    return plain.decode("utf-8", "replace").removeprefix(" ")
+    return b"".join(map(plain.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace").removeprefix(" ")
 
 
-def _append(table: DataFrame, source: str, name: str, kind: T.DataType, convert) -> DataFrame:
-    """``table`` with a column computed from another one, batch by batch; a column that had the name is replaced."""
-    kept = table.drop(name) if name != source else table
-    place = kept.columns.index(source)
+def _append(table: DataFrame, source: str, added: list[tuple[str, T.DataType]], convert) -> DataFrame:
+    """``table`` with columns computed from another one, a few rows at a time; columns that had their names are replaced."""
+    names = [name for name, _ in added]
+    rows = table.select(*(c for c in table.columns if c not in names), F.col(source).alias("__source"))
+    kept = [f for f in rows.schema.fields if f.name != "__source"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = convert()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, step(batch.column(place))], [*batch.schema.names, name])
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *step(part.column(len(kept)))], [*(f.name for f in kept), *names])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, kind)]))
+    return rows.mapInArrow(run, T.StructType([*kept, *(T.StructField(name, kind) for name, kind in added)]))
 
 
 def encode(docs: DataFrame, text_column: str = "text", ids_column: str = "ids", model: str | None = None) -> DataFrame:
     """All rows and columns with the ids of the text appended, as little-endian unsigned 32-bit bytes.
 
-    A null or empty text has no ids. The model's path is a parameter of the job and must exist on every executor.
+    A null or empty text has no ids. The model's path is a parameter of the job and must exist on every executor. Names that
+    begin with two underscores are reserved.
     """
     path = model or default_model()
 
     def convert():
         encoder = encoder_of(path)
-        return lambda texts: pa.array(encoder.encode([t or "" for t in texts.to_pylist()]), pa.binary())
+        return lambda texts: [pa.array(encoder.encode([t or "" for t in texts.to_pylist()]), pa.binary())]
 
-    return _append(docs, text_column, ids_column, T.BinaryType(), convert)
+    return _append(docs, text_column, [(ids_column, T.BinaryType())], convert)
 
 
 def decode(encoded: DataFrame, ids_column: str = "ids", text_column: str = "decoded", model: str | None = None) -> DataFrame:
@@ -278,7 +293,25 @@ def decode(encoded: DataFrame, ids_column: str = "ids", text_column: str = "deco
     path = model or default_model()
 
     def convert():
-        vocabulary = vocabulary_of(path)
-        return lambda ids: pa.array([decode_ids(one.as_py() or b"", vocabulary) for one in ids], pa.string())
+        plain = plain_of(path)
+        return lambda ids: [pa.array([decode_ids(one.as_py() or b"", plain) for one in ids], pa.string())]
+
+    return _append(encoded, ids_column, [(text_column, T.StringType())], convert)
+
+
+def encode_and_decode(
+    docs: DataFrame, text_column: str = "text", ids_column: str = "ids", decoded_column: str = "decoded", model: str | None = None
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that only one worker a task holds the vocabulary."""
+    path = model or default_model()
+
+    def convert():
+        encoder = encoder_of(path)
+
+        def step(texts):
+            ids = encoder.encode([t or "" for t in texts.to_pylist()])
+            return [pa.array(ids, pa.binary()), pa.array([decode_ids(one, encoder.vocabulary.plain) for one in ids], pa.string())]
+
+        return step
 
-    return _append(encoded, ids_column, text_column, T.StringType(), convert)
+    return _append(docs, text_column, [(ids_column, T.BinaryType()), (decoded_column, T.StringType())], convert)

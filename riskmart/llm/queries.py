@@ -92,7 +92,7 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 @_query
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number and digest of the ids of every document, and whether decoding them gives the text back."""
-    decoded = pieces.decode(pieces.encode(_table(spark, folder, "documents").select("doc_id", "text")))
+    decoded = pieces.encode_and_decode(_table(spark, folder, "documents").select("doc_id", "text"))
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
@@ -112,7 +112,7 @@ def op5_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"])
     return found.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.col("kept").cast("string").alias("text"),
     )
 
 

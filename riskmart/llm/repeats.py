@@ -21,7 +21,8 @@ from .suffixes import permuted_common_prefixes, suffix_array
 
 LENGTH = 400
 GRAM = 64
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 18
+SLICE = 128  # rows that are handled together
 FRAGMENT_STARTS = 4096
 SHARD_BYTES = 2 << 20
 SHARD_FRAGMENTS = 4096  # more different fragments under one hash are counted string by string
@@ -52,8 +53,8 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def fragments(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(text number, first start, starts, smallest hash, inner): each start of a ``length``-byte string in one fragment.
+def fragments(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Text number and arrays of (first start, starts, smallest hash, inner): each start of a ``length``-byte string in one fragment.
 
     ``inner`` tells that the smallest hash stands in more than one place nearby, as it must if a string recurs within the
     fragment itself.
@@ -82,35 +83,47 @@ def fragments(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, i
             if np.diff(bounds).max() > FRAGMENT_STARTS:
                 bounds = np.unique(np.r_[bounds, np.arange(0, len(own), FRAGMENT_STARTS)])
             chosen, inner = own[bounds[:-1]], np.isin(own[bounds[:-1]], several)
-            bounds = bounds.tolist()
-            for hashed, recurs, first, last in zip(chosen.tolist(), inner.tolist(), bounds, bounds[1:]):
-                yield number, start + first, last - first, hashed, recurs
+            yield number, start + bounds[:-1], np.diff(bounds), chosen, inner
 
 
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _signed(values) -> pa.Array:
-    return pa.array(np.array(values, np.uint64).view(np.int64))
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that a task never holds a whole batch of texts and what is found in them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
 
 
 def _fragment_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [_bytes(t.as_py()) for t in batch.column(2)]
-            rows = [
-                (number, hashed, xxhash.xxh64_intdigest(texts[number][at : at + starts + length - 1]), at, starts, inner)
-                for number, at, starts, hashed, inner in fragments(texts, length)
-            ]
-            if rows:
-                number, hashed, digest, at, starts, inner = zip(*rows)
-                number = pa.array(number)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(hashed), _signed(digest), batch.column(0).take(number), batch.column(1).take(number), pa.array(at), pa.array(starts), pa.array(inner)],
+            held, count = [], 0
+
+            def done():
+                number = pa.array(np.repeat([n for n, *_ in held], [len(at) for _, at, *_ in held]))
+                at, starts, hashed, inner, digest = (np.concatenate([h[i] for h in held]) for i in range(1, 6))
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(hashed.view(np.int64)), pa.array(digest.view(np.int64)), batch.column(0).take(number), batch.column(1).take(number),
+                     pa.array(at), pa.array(starts), pa.array(inner)],
                     ["h", "g", "k1", "k2", "at", "starts", "inside"],
                 )
 
+            for number, at, starts, hashed, inner in fragments(texts, length):
+                text = texts[number]
+                ends = (at + starts + (length - 1)).tolist()
+                digest = np.fromiter((xxhash.xxh64_intdigest(text[s:e]) for s, e in zip(at.tolist(), ends)), np.uint64, len(at))
+                held.append((number, at, starts, hashed, inner, digest))
+                count += len(at)
+                if count >= 50_000:
+                    yield done()
+                    held, count = [], 0
+            if held:
+                yield done()
+
     return run
 
 
@@ -210,7 +223,7 @@ def _remove(names: list[str], as_text: bool):
     """Text without its ranges: appends size, maximal removed ranges and what remains, as bytes or as text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             columns = dict(zip(batch.schema.names, batch.columns))
             sizes, removed, kept = [], [], []
             for text, ranges in zip(columns["__text"], columns["__ranges"]):

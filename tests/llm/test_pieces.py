@@ -18,7 +18,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def encoder():
-    return pieces.Encoder(pieces.vocabulary_of(pieces.default_model()))
+    return pieces.Encoder(pieces.Vocabulary(pieces.default_model()))
 
 
 def listed(ids):
@@ -48,11 +48,18 @@ def test_small_batches_and_caches_change_nothing(monkeypatch, encoder, library):
 
 
 def test_decoding_equals_the_library(library):
-    vocabulary = pieces.vocabulary_of(pieces.default_model())
+    plain = pieces.plain_of(pieces.default_model())
     rng = random.Random(2)
     for _ in range(300):
         ids = [rng.randrange(3, 32000) for _ in range(rng.randrange(12))]
-        assert pieces.decode_ids(np.array(ids, "<u4").tobytes(), vocabulary) == library.decode(ids)
+        assert pieces.decode_ids(np.array(ids, "<u4").tobytes(), plain) == library.decode(ids)
+
+
+def test_one_pass_equals_two(odd_docs, monkeypatch):
+    monkeypatch.setattr(pieces, "SLICE", 3)
+    two = pieces.decode(pieces.encode(odd_docs)).select("doc_id", "text", "ids", "decoded").collect()
+    one = pieces.encode_and_decode(odd_docs).select("doc_id", "text", "ids", "decoded").collect()
+    assert sorted(one, key=str) == sorted(two, key=str)
 
 
 def test_round_trip(odd_docs, library):
@@ -66,7 +73,7 @@ def test_round_trip(odd_docs, library):
 
 
 def test_search_finds_every_occurrence():
-    vocabulary = pieces.vocabulary_of(pieces.default_model())
+    vocabulary = pieces.Vocabulary(pieces.default_model())
     text = np.array([ord(c) for c in "the theathe▁there"] + [pieces.GAP] * (vocabulary.longest + 1))
     order = pieces.rank_by_doubling(text, vocabulary.longest)
     low, high = pieces._search(text, order, vocabulary)

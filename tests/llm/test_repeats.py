@@ -53,10 +53,10 @@ def test_equals_counting(make_docs, length, crowd):
 def test_small_segments_and_shards_change_nothing(monkeypatch, make_docs):
     rows = corpus()
     texts = [(t or "").encode() for _, t in rows]
-    whole = {(n, at + i) for n, at, count, _, _ in repeats.fragments(texts) for i in range(count)}
+    whole = {(n, a + i) for n, at, count, _, _ in repeats.fragments(texts) for a, c in zip(at.tolist(), count.tolist()) for i in range(c)}
     monkeypatch.setattr(repeats, "SEGMENT_BYTES", 500)
     monkeypatch.setattr(repeats, "FRAGMENT_STARTS", 50)
-    parts = [(n, at + i) for n, at, count, _, _ in repeats.fragments(texts) for i in range(count)]
+    parts = [(n, a + i) for n, at, count, _, _ in repeats.fragments(texts) for a, c in zip(at.tolist(), count.tolist()) for i in range(c)]
     assert len(parts) == len(set(parts)) and set(parts) == whole
     assert whole == {(n, i) for n, t in enumerate(texts) for i in range(len(t) - 399)}
 
