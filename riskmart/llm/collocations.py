@@ -25,8 +25,9 @@ LONGEST = 4
 KEEP = 2000  # phrases of a language that are returned
 COVERED = 80  # per cent of a phrase's count that a longer phrase must have for the shorter one to go
 SCALE = 2_000_000
-SLICE_BYTES = 16 << 20  # text whose phrases become transducers together
+SLICE_BYTES = 8 << 20  # text whose phrases become transducers together
 RANGE_BYTES = 24 << 20  # text behind one prefix range, about
+MOST_WORDS = 1 << 20  # distinct words of one slice, so that three of their numbers fit 64 bits
 CHUNK = 1 << 20
 SAMPLE = 2000  # documents whose beginnings say where ranges are cut; the cuts balance work only
 BITS = 26  # of the filter of frequent phrases: 8 MB whatever the corpus
@@ -37,13 +38,13 @@ BREAK = b"\xff"  # no UTF-8 text holds this byte
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
 
-def tokens(text: bytes) -> Iterator[list[bytes]]:
-    """Words of a UTF-8 text in order, a part of it at a time, with a mark between pieces."""
+def tokens(text: bytes) -> Iterator[tuple[list[bytes], int]]:
+    """Words of a UTF-8 text in order, a part of it at a time, with a mark between pieces, and the part's bytes."""
     data, at = text.translate(_FOLD), 0
     while at < len(data):
         end = data.find(b" ", at + CHUNK)
         end = len(data) if end < 0 else end
-        yield data[at:end].replace(BREAK, b" \xff ").split()
+        yield data[at:end].replace(BREAK, b" \xff ").split(), end - at
         at = end
 
 
@@ -181,8 +182,8 @@ def _shards(lengths: tuple[int, ...], ranges: Ranges, words, pairs, slice_bytes:
             for row in range(batch.num_rows):
                 text, lang = texts[row].as_py(), batch.column(1)[row].as_py()
                 tail: list[bytes] = []
-                for part in tokens(text):
-                    if size >= slice_bytes:
+                for part, part_bytes in tokens(text):
+                    if size >= slice_bytes or (lang in slices and len(slices[lang].known.words) > MOST_WORDS):
                         yield from done()
                         slices, size = {}, 0
                         if tail:
@@ -191,7 +192,7 @@ def _shards(lengths: tuple[int, ...], ranges: Ranges, words, pairs, slice_bytes:
                     if lang not in slices:
                         slices[lang] = _Slice(lang.encode(), one)
                     slices[lang].add(part)
-                    size += sum(map(len, part)) + len(part)
+                    size += part_bytes
                     tail = (tail + part[-overlap:])[-overlap:] if overlap else []
                 if lang in slices:
                     slices[lang].add([BREAK])
@@ -204,22 +205,23 @@ def _unite(least: int):
     """The union of the transducers of each range and language; rows come sorted by both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, union = None, Union()
+        key, union, words = None, Union(), 0
 
         def done():
             made = union.result(least)
             return pa.RecordBatch.from_arrays(
-                [pa.array([key[0]], pa.int32()), pa.array([key[1]]), pa.array([0]), pa.array([int((made.weight > 0).sum())]), pa.array([made.dump()], pa.binary())],
+                [pa.array([key[0]], pa.int32()), pa.array([key[1]]), pa.array([words]), pa.array([int((made.weight > 0).sum())]), pa.array([made.dump()], pa.binary())],
                 ["range", "lang", "total", "entries", "automaton"],
             )
 
         for batch in batches:
-            for where, lang, data in zip(*(batch.column(n) for n in (0, 1, 4))):
+            for where, lang, total, data in zip(*(batch.column(n) for n in (0, 1, 2, 4))):
                 own = (where.as_py(), lang.as_py())
                 if key is not None and own != key:
                     yield done()
-                    union = Union()
+                    union, words = Union(), 0
                 key = own
+                words += total.as_py()
                 union.add(Transducer.load(data.as_py()))
         if key is not None:
             yield done()
@@ -318,7 +320,7 @@ def _sampled_ranges(texts: DataFrame, range_bytes: int) -> Ranges:
     picked = texts.select(F.substring("text", 1, 4000).alias("text")).sample(min(1.0, SAMPLE / size.n), seed=1).limit(2 * SAMPLE)
     counts: Counter[bytes] = Counter()
     for row in picked.toLocalIterator():
-        for part in tokens(row.text.encode()):
+        for part, _ in tokens(row.text.encode()):
             counts.update(part)
     del counts[BREAK]
     return even_ranges(counts, number)
@@ -342,16 +344,16 @@ def collocations(
     texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang"))
     ranges = _sampled_ranges(texts, range_bytes)
 
-    def united(lengths: tuple[int, ...], words=None, pairs=None) -> tuple[DataFrame, DataFrame]:
-        shards = materialise(texts.mapInArrow(_shards(lengths, ranges, words, pairs, slice_bytes), _SHARD), "collocations-shards")
+    def united(lengths: tuple[int, ...], words=None, pairs=None) -> DataFrame:
+        shards = texts.mapInArrow(_shards(lengths, ranges, words, pairs, slice_bytes), _SHARD)
         dealt = shards.repartition("range", "lang").sortWithinPartitions("range", "lang")
-        return shards, materialise(dealt.mapInArrow(_unite(least), _SHARD), "collocations-united")
+        return materialise(dealt.mapInArrow(_unite(least), _SHARD), "collocations-united")
 
-    shards, one = united((1,))
-    sizes = shards.groupBy("lang").agg(F.sum("total").alias("n"))
+    one = united((1,))
+    sizes = one.groupBy("lang").agg(F.sum("total").alias("n"))
     words = _frequent(one)
-    two = united((2,), words)[1]
-    longer = united((3, 4), words, _frequent(two))[1]
+    two = united((2,), words)
+    longer = united((3, 4), words, _frequent(two))
 
     candidates = materialise(two.unionByName(longer).mapInArrow(_list, "lang string, phrase string, words int, a bigint"), "collocations-candidates")
     split = candidates.withColumn("w", F.split("phrase", " "))

@@ -7,8 +7,9 @@ from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 
 import numpy as np
+import zstandard
 
-ENTRIES = 1 << 21  # phrases that are collected before a union is summed up
+ENTRIES = 1 << 20  # phrases that are collected before a union is summed up
 
 
 @dataclass
@@ -27,29 +28,29 @@ class Transducer:
     start: int
 
     def dump(self) -> bytes:
-        return pickle.dumps((b" ".join(self.words), self.first.astype(np.uint32), self.label.astype(np.uint32),
-                             self.weight if self.weight.max(initial=0) >= 1 << 32 else self.weight.astype(np.uint32),
-                             self.target.astype(np.uint32), self.start), protocol=5)
+        weight = self.weight if self.weight.max(initial=0) >= 1 << 32 else self.weight.astype(np.uint32)
+        parts = (b" ".join(self.words), *(x.astype(np.uint32) for x in (self.first, self.label)), weight, self.target.astype(np.uint32), self.start)
+        return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, protocol=5))
 
     @staticmethod
     def load(data: bytes) -> Transducer:
-        words, first, label, weight, target, start = pickle.loads(data)
+        words, first, label, weight, target, start = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
         return Transducer(words.split(b" ") if words else [], *(x.astype(np.int64) for x in (first, label, weight, target)), start)
 
     def phrases(self) -> tuple[np.ndarray, np.ndarray]:
         """(codes, weights) of all phrases in order; codes are label numbers, one row a phrase, padded with -1."""
-        rows = np.empty((1, 0), np.int64)
+        rows = np.empty((1, 0), np.int32)
         state, found = np.array([self.start]), []
         while len(state):
             sizes = self.first[state + 1] - self.first[state]
             owner = np.repeat(np.arange(len(state)), sizes)
             arc = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + self.first[state][owner]
-            rows = np.column_stack([rows[owner], self.label[arc]])
+            rows = np.column_stack([rows[owner], self.label[arc].astype(np.int32)])
             ends = self.weight[arc] > 0
             found.append((rows[ends], self.weight[arc][ends]))
             rows, state = rows[self.target[arc] > 0], self.target[arc][self.target[arc] > 0]
         width = max((codes.shape[1] for codes, _ in found if len(codes)), default=1)
-        codes = np.full((sum(len(c) for c, _ in found), width), -1, np.int64)
+        codes = np.full((sum(len(c) for c, _ in found), width), -1, np.int32)
         at = 0
         for own, _ in found:
             codes[at : at + len(own), : min(own.shape[1], width)] = own[:, :width]
@@ -130,10 +131,10 @@ class Union:
         words = sorted(set().union(*(w for w, _, _ in self.parts)))
         number = {word: i for i, word in enumerate(words)}
         width = max(codes.shape[1] for _, codes, _ in self.parts)
-        codes = np.full((sum(len(c) for _, c, _ in self.parts), width), -1, np.int64)
+        codes = np.full((sum(len(c) for _, c, _ in self.parts), width), -1, np.int32)
         at = 0
         for own, part, _ in self.parts:
-            rank = np.array([*map(number.__getitem__, own), -1], np.int64)  # the last one stands for padding
+            rank = np.array([*map(number.__getitem__, own), -1], np.int32)  # the last one stands for padding
             codes[at : at + len(part), : part.shape[1]] = rank[part]
             at += len(part)
         weights = np.concatenate([w for _, _, w in self.parts])
