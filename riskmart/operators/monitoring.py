@@ -108,7 +108,11 @@ def data_quality_violations(
     tolerance: float = 0.0,
 ) -> DataFrame:
     """Completeness, type and category violations of ``current`` against ``baseline``."""
-    base_counts, now_counts = value_counts(baseline, columns), value_counts(current, columns)
+    return violations_from_counts(value_counts(baseline, columns), value_counts(current, columns), categorical, tolerance)
+
+
+def violations_from_counts(base_counts: DataFrame, now_counts: DataFrame, categorical: Sequence[str], tolerance: float = 0.0) -> DataFrame:
+    """The same from two ``column, value, n`` tables."""
     base, now = column_profile(base_counts), column_profile(now_counts)
     return (
         completeness_check(base, now, tolerance)

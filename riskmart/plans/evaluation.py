@@ -92,11 +92,13 @@ FINAL_MODEL = "Boosted (calibrated)"
 
 def evaluation_report(
     validation: DataFrame, test: DataFrame, target: str, id_column: str, alert_fraction: float = 0.10,
-    subgroup_columns: tuple[str, ...] = tuple(SUBGROUP_COLUMNS),
+    subgroup_columns: tuple[str, ...] = tuple(SUBGROUP_COLUMNS), ablation: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Comparison, full metrics, subgroups and calibration curve from two scored frames (see ``score_all``).
 
-    Persist the inputs first: every table reads them. Thresholds come from validation only.
+    Persist the inputs first: every table reads them. Thresholds come from validation only. ``ablation`` is the table of a
+    refit without one column (see ``attribution.ablate``), whose thresholds come from its own test scores; with it the
+    report is whole.
     """
     keep = [target, id_column]
     val_long = score_columns_to_rows(validation, MODEL_NAMES, keep)
@@ -106,10 +108,11 @@ def evaluation_report(
     metrics = materialise(full_metrics(test_long, "score", target, id_column, thresholds, ["model"]), "metrics")
     final = thresholds.where(F.col("model") == FINAL_MODEL).select("threshold").scalar()
     at_final = test.withColumn("_threshold", final)
-    return {
+    report = {
         "comparison": headline(metrics),
         "metrics": metrics,
         "subgroups": subgroup_metrics(
             at_final, "boosted_calibrated", target, F.col("_threshold"), list(subgroup_columns)),
         "calibration": calibration_curve(test, "boosted_calibrated", target),
     }
+    return report if ablation is None else {**report, "ablation": ablation}

@@ -56,9 +56,10 @@ def run_split_job(
 def run_feature_job(
     spark: SparkSession, clean: DataFrame, table: str, path: str, event_time: float
 ) -> dict[str, int | str]:
-    """Coerce, append, verify that the rows arrived."""
+    """Coerce, append, verify that all rows arrived."""
     prepared = coerce_for_feature_table(clean, event_time)
+    expected = prepared.count()
     before = spark.table(table).count() if spark.catalog.tableExists(table) else 0
     append_features(prepared, table, path, event_time)
-    after = check_row_count(spark, table, before + 1)
+    after = check_row_count(spark, table, before + expected)
     return {"table": table, "records_ingested": after - before, "row_count": after}

@@ -297,8 +297,9 @@ def _(spark, folder):
         path = work_path(spark, f"scored-{name}")
         jobs.score_all(parts[name], models, S.TARGET, "encounter_id", ("race", "gender", "age_ordinal")).write.parquet(path)
         scored[name] = spark.read.parquet(path)
-    report = jobs.evaluation_report(scored["validation"], scored["test"], S.TARGET, "encounter_id")
-    keys = {"comparison": ["model"], "metrics": ["model"], "subgroups": ["column", "value"], "calibration": ["bin"]}
+    ablation = attribution.ablate(parts["train"], parts["test"], feature_names(parts["train"].columns), "race", S.TARGET, params=SMALL)
+    report = jobs.evaluation_report(scored["validation"], scored["test"], S.TARGET, "encounter_id", ablation=ablation)
+    keys = {"comparison": ["model"], "metrics": ["model"], "subgroups": ["column", "value"], "calibration": ["bin"], "ablation": ["variant", "column", "value"]}
     return rounded(union_by_name([long_report(report[name], own, name) for name, own in keys.items()]))
 
 
