@@ -19,7 +19,10 @@ from ..session import materialise
 TITLES = {
     "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"],
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Srta", "Госпожа", "Κυρία"],
+    "u": ["Dr", "Doctor", "Prof", "Professor", "Mx"],
 }
+# Particles that stand before a family name and stay as they are.
+PARTICLES = "van von der den de del della di da dos du la le les ten ter zu zum zur af av bin ibn al el y".split()
 # Syllables of invented names and the ending of given names, by script.
 SCRIPTS = {
     "Cyrillic": ("ба ве ги до жу за ки ла ме но ра са ти фе ху че".split(), {"m": "н", "f": "ва"}),
@@ -27,7 +30,15 @@ SCRIPTS = {
     "Latin": ("ba de fi go hu ka le mi no pa re si to va we zu".split(), {"m": "n", "f": "na"}),
 }
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_TITLE = "|".join(sorted((t for own in TITLES.values() for t in own), key=len, reverse=True))
+_TITLES = sorted((t for own in TITLES.values() for t in own), key=len, reverse=True)
+_TITLE, _CAPITAL_TITLE = "|".join(_TITLES), "|".join(t.upper() for t in _TITLES)
+_PARTICLE = "|".join(PARTICLES)
+# A part of a name: capitals anywhere, apostrophes and hyphens inside, or an initial with its dot. Possessive repeats are matched
+# in a loop, so a name may have any number of parts.
+_PART = r"(?:\p{Lu}\.|(?:[dl]['’])?\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{L}[\p{L}\p{M}]*+)*+)"
+_NAME = rf"(?:(?:{_PARTICLE}) )*+{_PART}(?:[ -](?:(?:{_PARTICLE}) )*+{_PART})*+"
+_CAPITAL_PART = r"(?:\p{Lu}\.|\p{Lu}(?:['’]\p{Lu}|[\p{Lu}\p{M}])[\p{Lu}\p{M}]*+(?:['’-]\p{Lu}[\p{Lu}\p{M}]*+)*+(?![\p{L}]))"
+_CAPITAL_NAME = rf"{_CAPITAL_PART}(?:[ -]{_CAPITAL_PART})*+"
 # In order of precedence. Look-behinds let a match begin at the start of a token only, so long tokens cost one pass, and no
 # group repeats without a bound, since each repetition takes a stack frame.
 PATTERNS = {
@@ -37,11 +48,11 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+?[0-9]{0,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{3,4}"
     r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "person": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}",
+    "person": rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}|(?:{_CAPITAL_TITLE})\.? {_CAPITAL_NAME})",
 }
 KINDS = list(PATTERNS)
 _ALL = "|".join(PATTERNS.values())
-_HINT = rf"@|[0-9][0-9 .()-]{{5}}|(?:{_TITLE})\.? \p{{Lu}}"  # texts without any of these hold no entity
+_HINT = rf"@|[0-9][0-9 .()-]{{5}}|(?:{_TITLE}|{_CAPITAL_TITLE})\.? \p{{L}}"  # texts without any of these hold no entity
 MAX_DRAWS = 40
 LONGEST = 32  # syllables that a digest of 64 characters gives
 NATIONAL = 10  # digits of a telephone number after the country code
@@ -63,7 +74,11 @@ def _digits(value: Column) -> Column:
 
 
 def _gender(entity: Column) -> Column:
-    return F.when(entity.rlike(rf"^(?:{'|'.join(TITLES['f'])})\.? "), F.lit("f")).otherwise(F.lit("m"))
+    def titled(gender: str) -> Column:
+        own = TITLES[gender] + [t.upper() for t in TITLES[gender]]
+        return entity.rlike(rf"^(?:{'|'.join(own)})\.? ")
+
+    return F.when(titled("f"), F.lit("f")).when(titled("u"), F.lit("u")).otherwise(F.lit("m"))
 
 
 def identity_of(kind: Column, entity: Column) -> Column:
@@ -72,7 +87,7 @@ def identity_of(kind: Column, entity: Column) -> Column:
     return (
         F.when(kind == "email", F.lower(entity))
         .when(kind == "ip", entity)
-        .when(kind == "person", F.concat_ws(":", _gender(entity), name))
+        .when(kind == "person", F.concat_ws(":", _gender(entity), F.lower(name)))
         .when(kind == "phone", F.substring(_digits(entity), -NATIONAL, NATIONAL))
         .otherwise(_digits(entity))
     )
@@ -110,12 +125,18 @@ def _check_digit(body: Column) -> Column:
     return ((10 - F.aggregate(places, F.lit(0), add) % 10) % 10).cast("string")
 
 
+def _tokens(name: Column) -> Column:
+    """Runs of letters and runs of what stands between them, in order."""
+    return F.regexp_extract_all(name, F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
+
+
 def _invented_name(name: Column, gender: Column, key: str, draw: Column) -> Column:
-    """Each word becomes an invented one of the same script; of several words the first takes the gender's ending.
+    """Each word of a lower-case name becomes an invented one of the same script; particles and separators stay.
 
-    From the fourth draw on every draw has a syllable more than the one before, so one-word names do not run out.
+    Of several words the first takes the gender's ending; an initial becomes another initial. From the fourth draw on every
+    draw has a syllable more than the one before, so one-word names do not run out.
     """
-    words = F.split(name, " ")
+    parts = _tokens(name)
     places = F.sequence(F.lit(0), F.least(F.greatest(draw + 1, F.lit(3)), F.lit(LONGEST - 1)))
 
     def word(own: Column, place: Column) -> Column:
@@ -124,13 +145,31 @@ def _invented_name(name: Column, gender: Column, key: str, draw: Column) -> Colu
         def in_script(syllables: list[str], endings: dict[str, str]) -> Column:
             known = F.array(*map(F.lit, syllables))
             stem = F.array_join(F.transform(places, lambda k: F.get(known, _number(seed, 1 + 2 * k, 1).cast("int"))), "")
-            ending = F.when(gender == "f", F.lit(endings["f"])).otherwise(F.lit(endings["m"]))
-            return F.initcap(F.when((place == 0) & (F.size(words) > 1), F.concat(stem, ending)).otherwise(stem))
+            ending = F.when(gender == "f", F.lit(endings["f"])).when(gender == "m", F.lit(endings["m"])).otherwise(F.lit(""))
+            initial = F.substring(stem, 1, 1)
+            return F.when(F.length(own) == 1, initial).when((place == 0) & (F.size(parts) > 1), F.concat(stem, ending)).otherwise(stem)
+
+        scripts = [(own.rlike(rf"\p{{Is{s}}}"), in_script(*p)) for s, p in SCRIPTS.items()]
+        invented = F.when(*scripts[0]).when(*scripts[1]).otherwise(scripts[2][1])
+        return F.when(own.rlike(rf"^(?:[^\p{{L}}]+|{_PARTICLE})$"), own).otherwise(invented)
+
+    return F.array_join(F.transform(parts, word), "")
+
+
+def _in_case_of(model: Column, value: Column) -> Column:
+    """``value`` in capitals where ``model`` has a capital at the same place, or throughout if ``model`` is all capitals."""
+    capitals = (model == F.upper(model)) & (model != F.lower(model)) & (F.length(model) > 1)
+
+    def one(char: Column, place: Column) -> Column:
+        there = F.substring(model, (place + 1).cast("int"), F.lit(1))
+        return F.when((there == F.upper(there)) & (there != F.lower(there)), F.upper(char)).otherwise(char)
 
-        scripts = [(own.rlike(rf"\p{{Is{s}}}"), in_script(*parts)) for s, parts in SCRIPTS.items()]
-        return F.when(*scripts[0]).when(*scripts[1]).otherwise(scripts[2][1])
+    return F.when(capitals, F.upper(value)).otherwise(F.array_join(F.transform(F.split(value, ""), one), ""))
 
-    return F.array_join(F.transform(words, word), " ")
+
+def _written_name(name: Column, surrogate: Column) -> Column:
+    """An invented name in the case of the one it replaces, word by word; both have the same number of tokens."""
+    return F.array_join(F.zip_with(_tokens(name), _tokens(surrogate), _in_case_of), "")
 
 
 def surrogate_of(kind: Column, identity: Column, key: str, draw: Column) -> Column:
@@ -173,10 +212,12 @@ def _written(kind: Column, entity: Column, surrogate: Column) -> Column:
         )
 
     laid = F.aggregate(F.split(entity, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), lay)["out"]
-    name = F.concat(F.regexp_extract(entity, r"^\S+ ", 0), F.substring(surrogate, F.lit(3), F.length(surrogate)))
-    upper = (entity == F.upper(entity)) & (entity != F.lower(entity))
+    title = F.regexp_extract(entity, r"^\S+ ", 0)
+    invented = F.substring(surrogate, F.lit(3), F.length(surrogate))
+    name = F.concat(title, _written_name(F.substring(entity, F.length(title) + 1, F.length(entity)), invented))
+    email = F.concat_ws("@", *(_in_case_of(F.substring_index(entity, "@", n), F.substring_index(surrogate, "@", n)) for n in (1, -1)))
     return (
-        F.when(kind == "email", F.when(upper, F.upper(surrogate)).otherwise(surrogate))
+        F.when(kind == "email", email)
         .when(kind == "ip", surrogate)
         .when(kind == "person", name)
         .otherwise(laid)
@@ -205,11 +246,24 @@ def draw_surrogates(known: DataFrame, key: str) -> DataFrame:
     raise RuntimeError("the formats leave no room for distinct surrogates")
 
 
+def _replace_known(gap: Column, names: Column) -> Column:
+    """Full names among ``names`` (name, invented), longest first, wherever they stand alone."""
+
+    def one(text: Column, own: Column) -> Column:
+        pattern = F.concat(F.lit(r"(?<![\p{L}\p{M}'’-])\Q"), own["name"], F.lit(r"\E(?![\p{L}\p{M}])"))
+        return F.regexp_replace(text, pattern, own["invented"])
+
+    return F.aggregate(names, gap, one)
+
+
 def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All rows and columns, entities of the text replaced, with ``n_<kind>`` counts of replaced entities appended.
 
-    Texts without entities are passed on as they are, null texts too (counts 0). Rows are told apart by 128-bit digests
-    of id and text, so null and repeated ids are fine. Columns that had one of the appended names are replaced.
+    Persons are found by their titles; a full name of two or more parts that has a title somewhere in a text is also replaced
+    where it stands without one in that text (not counted). Texts without entities are passed on as they are, null texts
+    too (counts 0). Rows are told apart by 128-bit digests of id and text, so null and repeated ids are fine. Columns that
+    had one of the appended names are replaced; names that begin with two underscores are reserved. Texts that hold
+    entities are written once, so a text is searched twice at most.
     """
     docs = docs.drop(*(f"n_{kind}" for kind in KINDS))
     names = docs.columns
@@ -217,7 +271,7 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text_
     rows = docs.withColumns({
         "__k1": F.xxhash64(id_column, text_column), "__k2": F.xxhash64(F.lit(1), text_column, id_column), "__found": entities(text)
     })
-    holding, plain = rows.filter(F.size("__found") > 0), rows.filter(F.size("__found") == 0)
+    holding, plain = materialise(rows.filter(F.size("__found") > 0), "privacy-holding"), rows.filter(F.size("__found") == 0)
     seen = holding.select("__k1", "__k2", F.explode(F.array_distinct("__found")).alias("entity")).withColumn("kind", kind_of(F.col("entity")))
     seen = materialise(
         seen.select("__k1", "__k2", "kind", identity_of(F.col("kind"), F.col("entity")).alias("identity")).distinct(), "privacy-seen"
@@ -232,10 +286,21 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text_
         kind = kind_of(entity)
         return _written(kind, entity, F.element_at("__map", F.concat_ws(" ", kind, identity_of(kind, entity))))
 
-    parts = F.zip_with(F.split(text, _ALL), F.transform("__found", write), lambda gap, own: F.concat(gap, F.coalesce(own, F.lit(""))))
-    kinds = F.transform("__found", kind_of)
+    done = holding.join(maps, ["__k1", "__k2"]).withColumns({"__kinds": F.transform("__found", kind_of), "__written": F.transform("__found", write)})
+    pairs = F.arrays_zip("__found", "__written", "__kinds")
+    titled = F.filter(pairs, lambda p: p["__kinds"] == "person")
+
+    def untitled(entity: Column) -> Column:
+        return F.regexp_replace(entity, r"^\S+ ", "")
+
+    full = F.transform(titled, lambda p: F.struct(
+        F.length(untitled(p["__found"])).alias("size"), untitled(p["__found"]).alias("name"), untitled(p["__written"]).alias("invented")))
+    full = F.filter(full, lambda n: n["name"].contains(" "))
+    done = done.withColumn("__names", F.sort_array(F.array_distinct(full), asc=False))
+    gaps = F.transform(F.split(text, _ALL), lambda gap: F.when(F.size("__names") > 0, _replace_known(gap, F.col("__names"))).otherwise(gap))
+    parts = F.zip_with(gaps, "__written", lambda gap, own: F.concat(gap, F.coalesce(own, F.lit(""))))
     counts = {f"n_{k}": F.size(F.filter("__kinds", _equals(k))).cast("long") for k in KINDS}
-    done = holding.join(maps, ["__k1", "__k2"]).withColumn("__kinds", kinds).withColumns({text_column: F.array_join(parts, ""), **counts})
+    done = done.withColumns({text_column: F.array_join(parts, ""), **counts})
     untouched = plain.withColumns({f"n_{kind}": F.lit(0).cast("long") for kind in KINDS})
     columns = [*names, *counts]
     return done.select(*columns).unionByName(untouched.select(*columns))
