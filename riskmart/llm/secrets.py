@@ -50,11 +50,12 @@ BASE_KINDS = [rule.kind for rule in BASE_RULES]
 
 # Published formats of common credentials.
 MORE_RULES = [
-    Rule("private_key", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |PGP )?PRIVATE KEY(?: BLOCK)?-----"),
-    Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,255}|github_pat_[A-Za-z0-9_]{22,255}"),
-    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,250}"),
+    # The BEGIN line with the lines up to the END line, or else with the long lines that follow it.
+    Rule("private_key", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |PGP )?PRIVATE KEY(?: BLOCK)?-----(?:(?:\r?\n[A-Za-z0-9+/=]+)*\r?\n-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----|(?:\r?\n[A-Za-z0-9+/=]{20,})*)"),
+    Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}"),
+    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("payment", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,250}"),
+    Rule("payment", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{20,}", re.ASCII | re.IGNORECASE),
 ]

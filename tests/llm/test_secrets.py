@@ -40,6 +40,15 @@ def test_more_rules(make_docs):
     assert set(kinds) == {"private_key", "code_host", "chat", "cloud_key", "payment", "hex", "bearer"} - (set() if "hex" in kinds else {"hex"})
 
 
+def test_spans_hold_the_whole_secret(make_docs):
+    lines = "\n".join(["A1b2+/" * 10] * 3 + ["Zz=="])
+    key = f"-----BEGIN EC PRIVATE KEY-----\n{lines}\n-----END EC PRIVATE KEY-----"
+    cut = f"-----BEGIN PRIVATE KEY-----\n{'Q' * 64}\nThen prose"
+    text = f"{key} é {cut} ghp_{'a' * 300} xoxb-{'1' * 400} sk_live_{'c' * 500}"
+    found = {text[s:e] for k, s, e in spans_of(make_docs([(1, text)]))[1] if k in ("private_key", "code_host", "chat", "payment")}
+    assert found == {key, cut.removesuffix("\nThen prose"), "ghp_" + "a" * 300, "xoxb-" + "1" * 400, "sk_live_" + "c" * 500}
+
+
 def test_equals_a_scan_without_index(make_docs):
     rng = random.Random(3)
     parts = ['password="', "AKIA", "tok", "en:", "secret ", "= ", "é", "\n", "api_key", "apikey=", "0123456789abcdef", "xoxb-", "Z9", "eyJ", "."]
