@@ -231,5 +231,11 @@ def read_archives(spark: SparkSession, folder: str, listed: DataFrame | None = N
 
 
 def archive_folder(spark: SparkSession) -> str:
-    """A fresh folder for archives below the shared folder."""
-    return work_path(spark, "warc")
+    """A fresh folder for archives below the shared folder, with the file system it lies on.
+
+    A path without a scheme means the session's default file system to Spark; the executors' writers must not take it for
+    a folder on their own disks.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_path(spark, "warc"))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub("^file:/(?!/)", "file:///", system.makeQualified(path).toString())

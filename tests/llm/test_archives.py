@@ -94,3 +94,7 @@ def test_damaged_archives_are_noticed(tmp_path):
     (tmp_path / "b").write_bytes(struct.pack("<II", archives.SKIPPABLE, 0) + frame[:-10])
     with pytest.raises(ValueError):
         list(archives.read_archive(str(tmp_path), "b"))
+
+
+def test_folder_names_its_file_system(spark):
+    assert archives.archive_folder(spark).startswith("file:///")
