@@ -143,7 +143,8 @@ def _sparse(idf: np.ndarray):
                 tie = [zlib.crc32(text.as_py().encode("utf-8", "surrogatepass")) for text in batch.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(2), pa.array(tie, pa.int64()),
-                     pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))],
+                     pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                     pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))],
                     ["place", "lang", "tie", "at", "weights"],
                 )
 
@@ -156,7 +157,10 @@ def _fit(classes: list[str]):
         for batch in batches:
             place, lang, tie = (batch.column(n).to_pylist() for n in range(3))
             keys += [(p, l, t) for p, l, t in zip(place, lang, tie)]
-            rows += [tuple(batch.column(n)[row].values.to_numpy(zero_copy_only=False) for n in (3, 4)) for row in range(batch.num_rows)]
+            rows += [
+                tuple(batch.column(n)[row].values.to_numpy(zero_copy_only=False).astype(kind) for n, kind in ((3, np.int64), (4, np.float64)))
+                for row in range(batch.num_rows)
+            ]
         order = sorted(range(len(keys)), key=keys.__getitem__)
         rows = [rows[i] for i in order]
         labels = np.array([classes.index(keys[i][1]) for i in order], np.int64)
@@ -205,7 +209,7 @@ def fit_model(
     last = {lang: min(int(-(2**63) + part * 2**64), 2**63 - 1) for lang, part in share.items()}
     chosen = reduce(Column.__or__, [(F.col("lang") == lang) & (F.col("place") <= last[lang]) for lang in classes])
     sparse = train.filter(chosen).select("place", "text", "lang").mapInArrow(
-        _sparse(idf), "place bigint, lang string, tie bigint, at array<bigint>, weights array<double>"
+        _sparse(idf), "place bigint, lang string, tie bigint, at array<int>, weights array<float>"
     )
     sample = sparse.orderBy("place", "lang", "tie").limit(2 * rows_per_class * len(classes))
     fitted = sample.repartition(1).mapInArrow(_fit(classes), "label bigint, bucket bigint, weight double").collect()
