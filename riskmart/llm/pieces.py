@@ -22,9 +22,9 @@ from .suffixes import rank_by_doubling
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 GAP = 0x110000  # stands between words; no character has this number
-CACHED_WORDS = 150_000
+CACHED_WORDS = 350_000
 CACHED_PAIRS = 300_000
-SLICE = 512  # rows that are encoded and decoded together
+SLICE = 1024  # rows that are encoded and decoded together
 SLICE_CHARACTERS = 1 << 22  # of texts whose new words are collected
 BATCH_CHARACTERS = 1 << 18  # of words that are indexed together
 _WORD = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")  # no piece crosses a word start or a line break

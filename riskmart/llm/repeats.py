@@ -153,7 +153,7 @@ def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
     """Which starts of each piece begin a ``length``-byte string that another start, in any piece, begins too."""
     sizes = np.array([len(p) + 1 for p in pieces])
     text = np.frombuffer(b"\xff".join([*pieces, b""]), np.uint8) + np.uint8(1)  # no UTF-8 text holds 255: separators become 0
-    prefix, previous = permuted_common_prefixes(text, suffix_array(text, 256, length))
+    prefix, previous = permuted_common_prefixes(text, suffix_array(text, 256))
     at = np.flatnonzero(prefix >= length)
     marked = np.zeros(len(text), bool)
     marked[at] = marked[previous[at]] = True

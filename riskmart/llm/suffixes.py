@@ -6,6 +6,8 @@ order in which a scan would meet them, so the work is linear with a small number
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 
@@ -109,12 +111,65 @@ def rank_by_doubling(names: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def suffix_array(text: np.ndarray, size: int, depth: int | None = None, small_alphabet: int = 1024) -> np.ndarray:
-    """Suffixes of ``text`` (symbols below ``size``) in order; with ``depth`` at least by their first ``depth`` symbols.
+def _scan(text: list[int], is_smaller: bytes, ordered: list[int], sizes: np.ndarray) -> array:
+    """``induce`` entry by entry, for alphabets whose buckets hold a few entries each."""
+    n, order = len(text), array("i", [-1]) * len(text)
+    ends = np.cumsum(sizes)
+    tails = ends.tolist()
+    for at in reversed(ordered):
+        symbol = text[at]
+        tails[symbol] -= 1
+        order[tails[symbol]] = at
+    heads = (ends - sizes).tolist()
+    symbol = text[n - 1]
+    order[heads[symbol]] = n - 1  # the end of the text induces the last suffix first
+    heads[symbol] += 1
+    for at in order:
+        if at > 0 and not is_smaller[at - 1]:
+            symbol = text[at - 1]
+            order[heads[symbol]] = at - 1
+            heads[symbol] += 1
+    tails = ends.tolist()
+    for place in range(n - 1, -1, -1):
+        at = order[place]
+        if at > 0 and is_smaller[at - 1]:
+            symbol = text[at - 1]
+            tails[symbol] -= 1
+            order[tails[symbol]] = at - 1
+    return order
+
+
+def induced_order(text: np.ndarray, size: int) -> np.ndarray:
+    """Suffixes of a string over a large alphabet in order, by induction from its recursively sorted leftmost-smaller positions."""
+    n = len(text)
+    smaller = classify(text)
+    leftmost = np.flatnonzero(smaller & ~np.r_[True, smaller[:-1]]) if n else np.empty(0, np.int64)
+    symbols, flags, sizes = text.tolist(), smaller.tobytes(), np.bincount(text, minlength=size)
+    if len(leftmost) > 1:
+        ends = np.zeros(n, np.int64)
+        ends[leftmost] = np.r_[leftmost[1:], n - 1]
+        first = np.frombuffer(_scan(symbols, flags, leftmost.tolist(), sizes), np.intc)
+        is_leftmost = np.zeros(n, bool)
+        is_leftmost[leftmost] = True
+        ordered = first[is_leftmost[first]].astype(np.int64)
+        names = name_substrings(text, ordered, ends)
+        if names[-1] + 1 < len(leftmost):
+            place = np.empty(n, np.int64)
+            place[ordered] = names
+            ordered = leftmost[induced_order(place[leftmost], int(names[-1]) + 1)]
+        leftmost = ordered
+    return np.frombuffer(_scan(symbols, flags, leftmost.tolist(), sizes), np.intc).astype(np.int64) if n else np.empty(0, np.int64)
+
+
+def suffix_array(text: np.ndarray, size: int, small_alphabet: int = 1024) -> np.ndarray:
+    """Suffixes of ``text`` (symbols below ``size``) in order.
 
-    Reduced strings over a small alphabet are sorted by the same induction. Beyond that a bucket holds only a few
-    entries and the ranks of the reduced string are doubled instead.
+    The leftmost-smaller substrings are sorted by induction and named; if names repeat, the reduced string of names is
+    sorted the same way, and so on. Over a small alphabet whole buckets are handled in one vector step; over a large one,
+    where a bucket holds a few entries, entry by entry.
     """
+    if size > small_alphabet:
+        return induced_order(text, size)
     n = len(text)
     smaller = classify(text)
     leftmost = np.flatnonzero(smaller & ~np.r_[True, smaller[:-1]]) if n else np.empty(0, np.int64)
@@ -129,12 +184,7 @@ def suffix_array(text: np.ndarray, size: int, depth: int | None = None, small_al
         if names[-1] + 1 < len(leftmost):
             place = np.empty(n, np.int64)
             place[ordered] = names
-            reduced, count = place[leftmost], int(names[-1]) + 1
-            if count <= small_alphabet and len(reduced) > 4 * count:
-                order = suffix_array(reduced, count, depth, small_alphabet)
-            else:
-                order = rank_by_doubling(reduced, min(depth or len(reduced), len(reduced)))
-            ordered = leftmost[order]
+            ordered = leftmost[suffix_array(place[leftmost], int(names[-1]) + 1, small_alphabet)]
         leftmost = ordered
     return induce(text, smaller, leftmost, size)
 

@@ -84,7 +84,7 @@ def test_suffix_arrays(small_alphabet):
     for _ in range(150):
         text = rng.integers(0, rng.integers(1, 5) + 1, rng.integers(0, 60)).astype(np.uint8)
         data = bytes(text.tolist())
-        order = suffixes.suffix_array(text, 256, None, small_alphabet)
+        order = suffixes.suffix_array(text, 256, small_alphabet)
         assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
         if len(text):
             prefix, previous = suffixes.permuted_common_prefixes(text, order)
