@@ -9,6 +9,7 @@ gives the ids the reference encoder gives.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +25,7 @@ BLANK = "▁"
 GAP = 0x110000  # stands between words; no character has this number
 CACHED_WORDS = 350_000
 CACHED_PAIRS = 300_000
-SLICE = 1024  # rows that are encoded and decoded together
+SLICE = 512  # rows that are encoded and decoded together
 SLICE_CHARACTERS = 1 << 22  # of texts whose new words are collected
 BATCH_CHARACTERS = 1 << 18  # of words that are indexed together
 _WORD = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")  # no piece crosses a word start or a line break
@@ -78,6 +79,7 @@ class Vocabulary:
         for row, name in enumerate(ordered):
             self.symbols[row, : len(name)] = [ord(c) for c in name]
         self.alone: dict[int, bool] = {}
+        self.last_merge: dict[str, tuple[str, str]] = {}  # of pieces only, so no more than the vocabulary
         self.beside: dict[int, bool] = {}
 
     def name(self, number: int) -> str:
@@ -85,16 +87,48 @@ class Vocabulary:
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a short text: the adjacent pair that joins to the best piece is joined first, the left one of equals."""
-        parts, score = list(text), self.scores.get
+        parts, score, last = list(text), self.scores.get, None
         while len(parts) > 1:
             joined = [score(a + b) for a, b in zip(parts, parts[1:])]
             best = max((s for s in joined if s is not None), default=None)
             if best is None:
                 break
             at = joined.index(best)
+            last = (parts[at], parts[at + 1])
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        if len(parts) == 1 and last:
+            self.last_merge[text] = last
         return parts
 
+    def halves(self, name: str) -> tuple[str, str]:
+        """The two pieces whose merge makes a piece that stands alone."""
+        if name not in self.last_merge:
+            self.merge(name)
+        return self.last_merge[name]
+
+    def _time(self, name: str) -> float:
+        """When a piece is merged: the better its score, the earlier."""
+        return -self.scores[name] if len(name) > 1 else -math.inf
+
+    def _apart(self, left: str, right: str, until: float = math.inf) -> bool:
+        """Whether no merge joins two pieces that stand alone before the time ``until``.
+
+        The later-made piece is taken apart, again and again; what meets at the border must not join before that piece was
+        made. Of equal merges the left one comes first.
+        """
+        while True:
+            joined = self.scores.get(left + right)
+            if joined is not None and -joined < until:
+                return False
+            if len(left) == len(right) == 1:
+                return True
+            if self._time(left) > self._time(right):
+                until = min(until, self._time(left))
+                left = self.halves(left)[1]
+            else:
+                until = min(until, math.nextafter(self._time(right), math.inf))
+                right = self.halves(right)[0]
+
     def stands_alone(self, number: int) -> bool:
         """Whether the text of a piece is encoded as that piece."""
         if number not in self.alone:
@@ -103,12 +137,12 @@ class Vocabulary:
         return self.alone[number]
 
     def stay_apart(self, pair: int) -> bool:
-        """Whether two pieces (left * 2**32 + right) side by side are left as they are."""
+        """Whether two pieces (left * 2**32 + right) side by side are left as they are; the left one stands alone."""
         if pair not in self.beside:
             if len(self.beside) >= CACHED_PAIRS:
                 self.beside.clear()
-            left, right = self.name(pair >> 32), self.name(pair & 0xFFFFFFFF)
-            self.beside[pair] = self.stands_alone(pair & 0xFFFFFFFF) and self.merge(left + right) == [left, right]
+            left, right = pair >> 32, pair & 0xFFFFFFFF
+            self.beside[pair] = self.stands_alone(right) and self._apart(self.name(left), self.name(right))
         return self.beside[pair]
 
 
@@ -209,10 +243,8 @@ class Encoder:
     def _split(text: str) -> list[str]:
         return _WORD.findall(BLANK + text.replace(" ", BLANK)) if text else []
 
-    def _learn(self, texts: list[str]) -> None:
-        found: set[str] = set()
-        for text in texts:
-            found.update(self._split(text))
+    def _learn(self, texts: list[list[str]]) -> None:
+        found: set[str] = set().union(*texts)
         if len(self.words) + len(found) > CACHED_WORDS:
             self.words = {}
         new, size = [], 0
@@ -231,9 +263,10 @@ class Encoder:
             while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE_CHARACTERS):
                 size += len(texts[end])
                 end += 1
-            self._learn(texts[at:end])
+            split = [self._split(text) for text in texts[at:end]]
+            self._learn(split)
             known = self.words.__getitem__
-            out += [b"".join(map(known, self._split(text))) for text in texts[at:end]]
+            out += [b"".join(map(known, words)) for words in split]
             at = end
         return out
 
