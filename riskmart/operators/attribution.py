@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.nulls import quoted
-from .boosting import WORD, BoostedTrees
+from .boosting import WORD, BoostedTrees, fit_second_order
 from .evaluation import alert_volume_threshold, subgroup_metrics
 from .modeling import FeatureSchema, add_score, category_levels, coefficients, feature_schema, fit_boosted
 from .ordering import hash_key, sample_rows
@@ -165,15 +165,20 @@ def attribution_ranking(contributions: DataFrame, features: Sequence[str]) -> Da
 
 def ablate(
     train: DataFrame, test: DataFrame, features: Sequence[str], column: str, target: str,
-    alert_fraction: float = 0.10, params: Mapping[str, float] | None = None,
+    alert_fraction: float = 0.10, params: Mapping[str, float] | None = None, id_column: str | None = None,
 ) -> DataFrame:
     """Refit without ``column`` and compare test PR-AUC and the subgroup table of that column.
 
-    The threshold of each variant is the alert-volume quantile of its own test scores.
+    The threshold of each variant is the alert-volume quantile of its own test scores. With ``id_column`` the models are
+    second-order trees, without MLlib's.
     """
     parts = []
     for variant, kept in (("with", list(features)), ("without", [f for f in features if f != column])):
-        model = fit_boosted(train, feature_schema(train, kept, target), target, params)
+        schema = feature_schema(train, kept, target)
+        if id_column:
+            model = fit_second_order(train, schema, target, id_column, params).model()
+        else:
+            model = fit_boosted(train, schema, target, params)
         scored = add_score(test, model, "_score").withColumn(
             "_threshold", alert_volume_threshold(add_score(test, model, "_score"), "_score", alert_fraction).scalar())
         groups = subgroup_metrics(scored, "_score", target, F.col("_threshold"), [column])

@@ -193,8 +193,13 @@ def fit_boosted(
     return PipelineModel(stages=[*fitted.stages, trees])
 
 
-def add_score(df: DataFrame, model: PipelineModel, output: str = "score") -> DataFrame:
-    """Input columns plus the positive-class probability; identifiers ride along unread."""
+def add_score(df: DataFrame, model, output: str = "score") -> DataFrame:
+    """Input columns plus the positive-class probability; identifiers ride along unread.
+
+    ``model`` is a pipeline or anything that adds scores itself, as second-order trees do.
+    """
+    if not isinstance(model, PipelineModel):
+        return model.add_score(df, output)
     scored = model.transform(df).withColumn(output, vector_to_array("probability")[1])
     return scored.select(*df.columns, output)
 
@@ -223,7 +228,7 @@ BUNDLE_PARTS = ["calibrator", "threshold", "feature_schema"]
 class Bundle:
     """Model, calibration, frozen threshold and feature order; scored and shipped together."""
 
-    model: PipelineModel
+    model: object
     calibrator: dict
     threshold: dict
     feature_schema: dict
@@ -245,12 +250,16 @@ def _write_json(spark: SparkSession, path: str, content: dict) -> None:
 
 
 def save_bundle(
-    spark: SparkSession, path: str, model: PipelineModel, schema: FeatureSchema, a: float, b: float,
+    spark: SparkSession, path: str, model, schema: FeatureSchema, a: float, b: float,
     threshold: float, alert_fraction: float, frozen_at: str,
 ) -> None:
-    model.write().overwrite().save(f"{path}/model")
+    pipeline = isinstance(model, PipelineModel)
+    if pipeline:
+        model.write().overwrite().save(f"{path}/model")
+    else:
+        model.save(spark, f"{path}/model")
     _write_json(spark, f"{path}/calibrator", {"a": a, "b": b})
-    _write_json(spark, f"{path}/feature_schema", schema.to_dict())
+    _write_json(spark, f"{path}/feature_schema", {**schema.to_dict(), "learner": "pipeline" if pipeline else "second_order"})
     _write_json(spark, f"{path}/threshold", {
         "threshold": threshold, "target_alert_fraction": alert_fraction, "selected_on": "validation",
         "frozen_at": frozen_at,
@@ -265,8 +274,11 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
             parts[part] = json.loads(spark.read.text(f"{path}/{part}").first()["value"])
         except AnalysisException as error:
             raise FileNotFoundError(f"bundle {path} lacks {part}") from error
+    from .boosting import load_boosted_trees  # that module builds on this one
+
+    load = {"pipeline": PipelineModel.load, "second_order": lambda at: load_boosted_trees(spark, at)}
     try:
-        model = PipelineModel.load(f"{path}/model")
+        model = load[parts["feature_schema"].get("learner", "pipeline")](f"{path}/model")
     except Exception as error:  # the loader's error class depends on the file system
         raise FileNotFoundError(f"bundle {path} lacks its model") from error
     return Bundle(model=model, **parts)

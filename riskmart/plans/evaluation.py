@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import platt
+from ..operators.boosting import BoostedTrees, fit_second_order
 from ..operators.evaluation import (
     alert_volume_threshold, calibration_curve, full_metrics, headline, majority_class_metrics, prediction_metrics,
     score_columns_to_rows, subgroup_metrics,
@@ -54,18 +55,25 @@ def benchmark_report(train: DataFrame, validation: DataFrame, target: str) -> Da
 @dataclass(frozen=True)
 class FittedModels:
     logistic: PipelineModel
-    boosted: PipelineModel
+    boosted: PipelineModel | BoostedTrees
     calibration: tuple[float, float]
     base_rate: float
 
 
 def fit_models(
     train: DataFrame, validation: DataFrame, schema: FeatureSchema, target: str,
-    boosting: Mapping[str, float] | None = None,
+    boosting: Mapping[str, float] | None = None, id_column: str | None = None,
 ) -> FittedModels:
-    """The logistic baseline, the boosted model and its calibration (fitted on validation scores)."""
+    """The logistic baseline, the boosted model and its calibration (fitted on validation scores).
+
+    With ``id_column`` (rows are sampled by it) the boosted model is the second-order one, stopped by validation PR-AUC;
+    without, MLlib's.
+    """
     logistic = fit_logistic(train, schema, target)
-    boosted = fit_boosted(train, schema, target, boosting, validation)
+    if id_column:
+        boosted = fit_second_order(train, schema, target, id_column, boosting, validation).model()
+    else:
+        boosted = fit_boosted(train, schema, target, boosting, validation)
     calibration = fit_platt(add_score(validation, boosted, "_raw"), "_raw", target)
     base_rate = train.agg(F.avg(F.col(target).cast("double"))).first()[0]
     return FittedModels(logistic, boosted, calibration, base_rate)

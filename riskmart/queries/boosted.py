@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators import boosting as B, dictionaries as D
+from ..functions import platt
+from ..operators import boosting as B, dictionaries as D, evaluation as E, modeling as M
 from ..operators.modeling import FeatureSchema
 from ..operators.ranking import ranking_metrics
+from ..session import work_path
 from .aggregates import rounded
 from .models import _LEVEL_COLUMNS, _level_sql, _schema, features
 from .registry import query
@@ -80,6 +82,32 @@ def _(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+_BUNDLE_SQL = f"""
+WITH scored AS (SELECT c.encounter_id, split, readmit_30 AS y, 1 / (1 + exp(-margin)) AS x FROM ({_boosting_sql()}) t JOIN clean c ON c.encounter_id = t.encounter_id),
+cells AS (SELECT x, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS pos FROM scored WHERE split = 'validation' GROUP BY x),
+fit AS (SELECT * FROM (WITH RECURSIVE step AS (SELECT 0 AS i, CAST(0 AS DOUBLE) AS w, CAST(0 AS DOUBLE) AS b
+UNION ALL
+SELECT i + 1, w - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+FROM (SELECT i, w, b, sum(x * (n * p - pos)) + w AS g1, sum(n * p - pos) AS g2, sum(n * p * (1 - p) * x * x) + 1 AS h11,
+    sum(n * p * (1 - p) * x) AS h12, sum(n * p * (1 - p)) AS h22
+  FROM (SELECT *, 1 / (1 + exp(-(w * x + b))) AS p FROM step, cells WHERE i < 15) GROUP BY i, w, b)) SELECT * FROM step WHERE i = 15))
+SELECT encounter_id, round(1 / (1 + exp(-(w * x + b))), 4) AS probability FROM scored, fit WHERE split = 'production'"""
+
+
+@query("m11_m12_second_order_bundle", check(_BUNDLE_SQL))
+def _(spark, folder):
+    """Fitted on train, calibrated and frozen on validation, saved, loaded again, and production scored through it."""
+    train, validation = features(spark, folder, "train"), features(spark, folder, "validation")
+    model = B.fit_second_order(train, _TWO_SCHEMA, S.TARGET, "encounter_id", _TWO).model()
+    raw = M.add_score(validation, model)
+    a, b = M.fit_platt(raw, "score", S.TARGET)
+    threshold = E.alert_volume_threshold(raw.withColumn("p", platt(F.col("score"), a, b)), "p", 0.10).first()["threshold"]
+    path = work_path(spark, "bundle")
+    M.save_bundle(spark, path, model, _TWO_SCHEMA, a, b, threshold, 0.10, "2024-01-01T00:00:00Z")
+    scored = M.load_bundle(spark, path).score(features(spark, folder, "production"), "encounter_id")
+    return scored.select("encounter_id", F.round("probability", 4).alias("probability"))
+
+
 @query("m7_stopped_by_metric")
 def _(spark, folder):
     """All features at the default depth; rounds stop once validation PR-AUC has not risen for three."""
