@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.nulls import quoted
 from ..session import materialise, remove_path, work_path
-from .dictionaries import encode_levels, fit_dictionary, load_dictionary, save_dictionary
+from .dictionaries import encode_levels, fit_dictionary, level_counts, load_dictionary, save_dictionary
 from .modeling import FeatureSchema
 from .ranking import ranking_metrics
 
@@ -28,7 +28,7 @@ SETTINGS = {
 }
 PATIENCE = 20
 MAX_BINS = 256
-WORD = 63  # levels in one number of a level set
+WORD = 32  # levels in one number of a level set
 LEAST_GAIN = 1e-9
 
 
@@ -39,6 +39,7 @@ class Binning:
     schema: FeatureSchema
     cuts: dict[str, list[float]]
     dictionary: DataFrame
+    levels: dict[str, int]
 
     @property
     def bins(self) -> list[str]:
@@ -48,15 +49,16 @@ class Binning:
         """``df`` with a bin column per feature: for numbers, how many cuts are not above the value."""
         names = dict(zip(self.schema.order, self.bins))
         df = encode_levels(df, self.dictionary, {c: names[c] for c in self.schema.categorical})
+        df = df.withColumns({names[c]: F.col(names[c]).cast("int") for c in self.schema.categorical})
         for column in self.schema.numeric:
             bin_name, cuts = names[column], self.cuts[column]
             value = F.nanvl(quoted(column).cast("double"), F.lit(None).cast("double"))
             if not cuts:
-                df = df.withColumn(bin_name, F.when(value.isNotNull(), F.lit(0).cast("long")))
+                df = df.withColumn(bin_name, F.when(value.isNotNull(), F.lit(0)))
                 continue
             splits = [float("-inf"), *cuts, float("inf")]
             df = Bucketizer(splits=splits, inputCol=f"_{bin_name}", outputCol=f"_{bin_name}_at").transform(df.withColumn(f"_{bin_name}", value))
-            df = df.withColumn(bin_name, F.col(f"_{bin_name}_at").cast("long")).drop(f"_{bin_name}", f"_{bin_name}_at")
+            df = df.withColumn(bin_name, F.col(f"_{bin_name}_at").cast("int")).drop(f"_{bin_name}", f"_{bin_name}_at")
         return df
 
 
@@ -74,7 +76,8 @@ def fit_binning(train: DataFrame, schema: FeatureSchema, max_bins: int = MAX_BIN
         if many:
             found = numbers.approxQuantile(sorted(many), [i / max_bins for i in range(1, max_bins)], 0.25 / max_bins)
             cuts.update({c: sorted(set(q)) for c, q in zip(sorted(many), found)})
-    return Binning(schema, cuts, fit_dictionary(train, schema.categorical))
+    dictionary = fit_dictionary(train, schema.categorical)
+    return Binning(schema, cuts, dictionary, level_counts(dictionary))
 
 
 @dataclass
@@ -89,14 +92,12 @@ class Node:
     missing_left: bool = False
 
     def goes_left(self) -> str:
-        """SQL condition over the bin columns."""
-        name = f"_b{self.feature}"
+        """SQL condition over the bin columns; short, since a tree repeats it at every split."""
+        name, missing = f"_b{self.feature}", str(self.missing_left).lower()
         if self.words is None:
-            test = f"{name} < {self.cut}"
-        else:
-            words = ", ".join(f"{w}L" for w in self.words)
-            test = f"coalesce(bit_get(try_element_at(array({words}), cast({name} div {WORD} AS int) + 1), cast({name} % {WORD} AS int)) = 1, false)"
-        return f"CASE WHEN {name} IS NULL THEN {str(self.missing_left).lower()} ELSE {test} END"
+            return f"coalesce({name} < {self.cut}, {missing})"
+        words = ", ".join(f"{w}L" for w in self.words)  # one for every WORD levels of the feature, so no level lies outside
+        return f"coalesce(bit_get(get(array({words}), shiftright({name}, 5)), {name} & 31) = 1, {missing})"
 
 
 Tree = dict[int, Node]  # node n has the children 2n and 2n + 1; the root is 1
@@ -150,6 +151,24 @@ def _best_splits(ordered: DataFrame, penalty: float, least_weight: float) -> Dat
     return tried.groupBy("node").agg(best).select("node", "best.*")
 
 
+def _level_sets(ordered: DataFrame, best: DataFrame, categorical: int) -> DataFrame:
+    """node, words: the levels that a chosen split on a category sends left, ``WORD`` of them in a number."""
+    chosen = best.where((F.col("feature") < categorical) & (F.col("loss") < -LEAST_GAIN))
+    chosen = chosen.select(F.col("node").alias("_n"), F.col("feature").alias("_f"), F.col("rank").alias("_r"))  # at most 2^depth rows
+    inside = ordered.join(F.broadcast(chosen), (F.col("node") == F.col("_n")) & (F.col("feature") == F.col("_f")) & (F.col("rank") <= F.col("_r")))
+    bit = F.expr(f"shiftleft(1L, cast(bin % {WORD} AS int))")
+    words = inside.groupBy("node", F.expr(f"bin div {WORD}").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return words.groupBy("node").agg(F.collect_list(F.struct("word", "bits")).alias("words"))
+
+
+def _dense(words: list, levels: int) -> list[int]:
+    """One number for every ``WORD`` levels."""
+    out = [0] * -(-levels // WORD)
+    for w in words:
+        out[w.word] = w.bits
+    return out
+
+
 @dataclass
 class Booster:
     """A fit in progress: ``rows`` hold id, label, bins, margin and whether they are held out; ``grow`` adds rounds.
@@ -200,11 +219,11 @@ class Booster:
             at = rows.withColumn("node", where)
             at = at.where(F.col("node").isin(*open_nodes)) if tree else at
             ordered = _ordered_bins(at, bins, categorical)
+            found = _best_splits(ordered, p["lambda"], p["min_child_weight"])
             if categorical:
-                ordered = materialise(ordered, "bins")
-            best = [r for r in _best_splits(ordered, p["lambda"], p["min_child_weight"]).collect()]  # at most 2^depth rows
-            sets = self._level_sets(ordered, [r for r in best if r.feature < categorical and r.loss < -LEAST_GAIN])
-            nodes, open_nodes = open_nodes, []
+                found = found.join(_level_sets(ordered, found, categorical), "node", "left")
+            best = found.collect()  # at most 2^depth rows
+            open_nodes = []
             for r in best:
                 if not tree:
                     tree[1] = self._leaf(r.gt, r.ht)
@@ -212,7 +231,7 @@ class Booster:
                     continue
                 node = tree[r.node]
                 node.feature, node.missing_left = r.feature, r.missing_left == 1
-                node.cut, node.words = (None, sets[r.node]) if r.feature < categorical else (r.bin + 1, None)
+                node.cut, node.words = (None, _dense(r.words, self.binning.levels[self.binning.schema.order[r.feature]])) if r.feature < categorical else (r.bin + 1, None)
                 for child, g, h in ((2 * r.node, r.gl, r.hl), (2 * r.node + 1, r.gt - r.gl, r.ht - r.hl)):
                     tree[child] = self._leaf(g, h)
                     open_nodes.append(child)
@@ -224,24 +243,6 @@ class Booster:
         total = h + self.settings["lambda"]
         return Node(-self.settings["eta"] * g / total if total > 0 else 0.0, h)
 
-    @staticmethod
-    def _level_sets(ordered: DataFrame, chosen: list) -> dict[int, list[int]]:
-        """For each chosen node the levels that go left, ``WORD`` of them in a number."""
-        if not chosen:
-            return {}
-        wanted = [(F.col("node") == r.node) & (F.col("feature") == r.feature) & (F.col("rank") <= r["rank"]) for r in chosen]
-        one_of = wanted[0]
-        for more in wanted[1:]:
-            one_of = one_of | more
-        bit = F.expr(f"shiftleft(1L, cast(bin % {WORD} AS int))")
-        words = ordered.where(one_of).groupBy("node", F.expr(f"bin div {WORD}").alias("word")).agg(F.bit_or(bit).alias("bits"))
-        sets: dict[int, list[int]] = {r.node: [] for r in chosen}
-        for row in words.orderBy("node", "word").collect():  # one number for every 63 levels
-            own = sets[row.node]
-            own.extend([0] * (row.word - len(own)))
-            own.append(row.bits)
-        return sets
-
     def grow(self, rounds: int, watch: bool = True, patience: int | None = None) -> None:
         """Add up to ``rounds`` trees; with ``patience`` stop once the held-out PR-AUC has not risen for that many."""
         for _ in range(rounds):
@@ -297,7 +298,8 @@ def load_boosted_trees(spark: SparkSession, path: str) -> BoostedTrees:
     content = json.loads(spark.read.text(f"{path}/trees").first()["value"])
     schema = FeatureSchema(tuple(content["categorical"]), tuple(content["numeric"]))
     trees = [{int(n): Node(**node) for n, node in tree.items()} for tree in content["trees"]]
-    return BoostedTrees(Binning(schema, content["cuts"], load_dictionary(spark, f"{path}/dictionary")), trees)
+    dictionary = load_dictionary(spark, f"{path}/dictionary")
+    return BoostedTrees(Binning(schema, content["cuts"], dictionary, level_counts(dictionary)), trees)
 
 
 def start_boosting(

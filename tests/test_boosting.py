@@ -125,7 +125,7 @@ def coalition_value(tree, bins, known, number=1):
         return node.weight
     if node.feature in known:
         b = bins[node.feature]
-        left = node.missing_left if b is None else (b < node.cut if node.words is None else b // 63 < len(node.words) and node.words[b // 63] >> b % 63 & 1)
+        left = node.missing_left if b is None else (b < node.cut if node.words is None else node.words[b // boosting.WORD] >> b % boosting.WORD & 1)
         return coalition_value(tree, bins, known, 2 * number + (not left))
     return sum(tree[c].cover / node.cover * coalition_value(tree, bins, known, c) for c in (2 * number, 2 * number + 1))
 
