@@ -33,6 +33,7 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _TITLES = sorted((t for own in TITLES.values() for t in own), key=len, reverse=True)
 _TITLE, _CAPITAL_TITLE = "|".join(_TITLES), "|".join(t.upper() for t in _TITLES)
 _PARTICLE = "|".join(PARTICLES)
+_INITIALS = "[" + "".join(sorted({t[0] for t in _TITLES})) + "]"  # asked first, since most places begin no title
 # A part of a name: capitals anywhere, apostrophes and hyphens inside, or an initial with its dot. Possessive repeats are matched
 # in a loop, so a name may have any number of parts.
 _PART = r"(?:\p{Lu}\.|(?:[dl]['’])?\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{L}[\p{L}\p{M}]*+)*+)"
@@ -48,11 +49,11 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+?[0-9]{0,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{3,4}"
     r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "person": rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}|(?:{_CAPITAL_TITLE})\.? {_CAPITAL_NAME})",
+    "person": rf"(?={_INITIALS})(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}|(?:{_CAPITAL_TITLE})\.? {_CAPITAL_NAME})",
 }
 KINDS = list(PATTERNS)
 _ALL = "|".join(PATTERNS.values())
-_HINT = rf"@|[0-9][0-9 .()-]{{5}}|(?:{_TITLE}|{_CAPITAL_TITLE})\.? \p{{L}}"  # texts without any of these hold no entity
+_HINT = rf"@|[0-9][0-9 .()-]{{5}}|(?={_INITIALS})(?<!\p{{L}})(?:{_TITLE}|{_CAPITAL_TITLE})\.? \p{{L}}"  # texts without any of these hold no entity
 MAX_DRAWS = 40
 LONGEST = 32  # syllables that a digest of 64 characters gives
 NATIONAL = 10  # digits of a telephone number after the country code
