@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskmart.operators import attribution, boosting, dictionaries, search
 from riskmart.operators.modeling import FeatureSchema
+from riskmart.plans import evaluation as jobs
 
 KIND = "id long, y int, a string, b string, x double, z long"
 SCHEMA = FeatureSchema(("a", "b"), ("x", "z"))
@@ -186,3 +187,13 @@ def test_saved_dictionary(spark, tmp_path):
     loaded = dictionaries.load_dictionary(spark, str(tmp_path))
     assert sorted(loaded.collect()) == sorted(levels.collect())
     assert sorted(r.value for r in loaded.where("level = 0").collect()) == ["0", "B"]
+
+
+def test_jobs_take_second_order_trees(spark):
+    data = [r for r in rows(7, 300) if r[4] is not None and r[4] == r[4]]
+    df, few = spark.createDataFrame(data, KIND), {**PLAIN, "num_round": 1, "max_depth": 1}
+    models = jobs.fit_models(df, df, SCHEMA, "y", few, id_column="id")
+    assert isinstance(models.boosted, boosting.BoostedTrees) and len(models.boosted.trees) == 1
+    found = attribution.ablate(df, df, SCHEMA.order, "b", "y", params=few, id_column="id").collect()
+    assert {r.variant for r in found} == {"with", "without"} and {r["value"] for r in found} == {"u", "v", "w"}
+    assert all(0 <= r.test_pr_auc <= 1 for r in found)
