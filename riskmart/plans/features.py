@@ -15,6 +15,7 @@ from ..operators.gates import (
     CLASS_FLOOR, PREVALENCE_TOLERANCE, PROPORTION_TOLERANCE, enforce, modelling_statistics, split_counts, split_gates,
 )
 from ..operators.splitting import assign_exact_split, assign_hash_split
+from ..session import compiled_methods
 from ..sources.catalog import append_features, check_row_count, write_partitioned
 
 
@@ -39,9 +40,10 @@ def run_split_job(
     """
     frame = split_frame(raw, dimensions, settings, exact).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        enforce(split_gates(
-            frame, "patient_nbr", S.TARGET, settings.splits, floor, proportion_tolerance, prevalence_tolerance))
-        write_partitioned(frame, table, path)
+        with compiled_methods(spark):
+            enforce(split_gates(
+                frame, "patient_nbr", S.TARGET, settings.splits, floor, proportion_tolerance, prevalence_tolerance))
+            write_partitioned(frame, table, path)
     finally:
         frame.unpersist()
     written = spark.table(table)
