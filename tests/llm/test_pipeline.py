@@ -72,6 +72,16 @@ def test_stages_equal_brute_force(spark, folder):
     assert sorted((str(r.doc_id), r.ids_crc32) for r in found["packing"]) == expected
 
 
+def test_shared_passages_of_over_50_words_go(spark, make_docs):
+    passage = " ".join(f"{a}{b}word" for a in "klmnopqr" for b in "stuvwxyz")[: 52 * 7 - 1]  # 52 words
+    assert len(passage.encode()) < 400
+    rows = [(i, text_of("aa", 500 + i, 60) + " " + passage + " " + text_of("bb", 600 + i, 60)) for i in range(3)] + [(9, text_of("aa", 700, 90))]
+    found = {r.doc_id: r.text for r in corpus_pipeline.suffix_array_dedup(spark, make_docs(rows, clash=False), "").collect()}
+    expected = removed_by_counting([t for _, t in rows], 255)
+    assert found == {i: x[2].decode("utf-8", "ignore") for (i, _), x in zip(rows, expected)} and found[9] == rows[3][1]
+    assert all(passage not in found[i] and len(found[i]) > 500 for i in range(3))
+
+
 def test_run_and_query(spark, folder):
     direct = corpus_pipeline.run(spark, folder)
     assert queries.QUERIES["pipeline"](spark, folder).count() == direct.count() > 30

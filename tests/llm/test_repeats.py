@@ -99,3 +99,10 @@ def test_sliding_minimum():
     values = np.random.default_rng(2).integers(0, 100, 50, np.uint64)
     for width in (1, 2, 7, 50):
         assert repeats.sliding_minimum(values, width).tolist() == [values[i : i + width].min() for i in range(51 - width)]
+
+
+def test_short_ranges_of_few_words_stay(make_docs):
+    few, many = "x" * 300, " ".join(f"w{i:03}" for i in range(60))
+    rows = [(i, f"{'ab'[i]} {few} {'cd'[i]} {many} {'ef'[i]}") for i in range(2)]
+    kept = [r.kept for r in repeats.remove_repeats(make_docs(rows, clash=False), length=255, as_text=True, least_words=51).collect()]
+    assert all(few in k and "w030" not in k for k in kept)
