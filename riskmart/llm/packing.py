@@ -23,7 +23,7 @@ from ..session import materialise
 WINDOW = 2048
 END = 1  # id that ends every document
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 250_000
+CACHED_WORDS = 600_000
 CACHED_STEMS = 500_000
 TAIL = string.punctuation.replace("'", "")  # an apostrophe may begin an ending of its own
 GROUP = 50_000  # pieces of one length that are numbered in one task
@@ -73,21 +73,21 @@ class WordEncoder:
                 yield word, array("I", encoding.ids).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        tails = {word[len(word.rstrip(TAIL)) :] for word in words} - self.tails.keys()
-        self.tails.update(self._whole(list(tails)))
-        odd, stems, tokenize = [], self.stems, self.tokenizer.model.tokenize
+        odd, stems, tails, tokenize = [], self.stems, self.tails, self.tokenizer.model.tokenize
         for word in words:
             stem = word.rstrip(TAIL)
             if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0100"):
                 odd.append(word)
                 continue
             tail = word[len(stem) :]
+            if tail and tail not in tails:
+                tails.update(self._whole([tail]))
             stem = stem.lower()
             ids = stems.get(stem)
             if ids is None:
                 letters = stem if stem.isascii() else stem.encode().decode("latin-1").translate(BYTE_ALPHABET)
                 ids = stems[stem] = array("I", [token.id for token in tokenize(letters)]).tobytes()
-            self.words[word] = ids + self.tails[tail] if tail else ids
+            self.words[word] = ids + tails[tail] if tail else ids
         self.words.update(self._whole(odd))
 
     def encode(self, texts: list[str]) -> list[bytes]:
