@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
@@ -26,6 +27,7 @@ TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS = 600_000
 CACHED_STEMS = 500_000
 TAIL = string.punctuation.replace("'", "")  # an apostrophe may begin an ending of its own
+SLICE = 2048  # texts that are encoded together
 GROUP = 50_000  # pieces of one length that are numbered in one task
 
 
@@ -72,7 +74,7 @@ class WordEncoder:
             for word, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 yield word, array("I", encoding.ids).tobytes()
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         odd, stems, tails, tokenize = [], self.stems, self.tails, self.tokenizer.model.tokenize
         for word in words:
             stem = word.rstrip(TAIL)
@@ -91,24 +93,38 @@ class WordEncoder:
         self.words.update(self._whole(odd))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        column = pa.array(texts, pa.large_string())
         for string in self.added:
-            texts = [text.replace(string, f" {string} ") for text in texts]
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+            column = pc.replace_substring(column, string, f" {string} ")
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        numbered = split.flatten().dictionary_encode()  # so that each distinct word is looked up once
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         for known, limit in ((self.words, CACHED_WORDS), (self.stems, CACHED_STEMS), (self.tails, CACHED_WORDS)):
-            if len(known) > limit:
-                known.clear()
-                known[""] = b""
-        new = set().union(*split) - self.words.keys()
+            _forget(known, limit)
+        found = [*map(self.words.get, words)]
+        new = [place for place, ids in enumerate(found) if ids is None]
         if new:
             collecting = gc.isenabled()
             gc.disable()  # no cycles arise here, and a collection would walk all known words
             try:
-                self._learn(new)
+                self._learn([words[place] for place in new])
             finally:
                 if collecting:
                     gc.enable()
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+            for place in new:
+                found[place] = self.words[words[place]]
+        ids = pa.array(found, pa.large_binary()).take(numbered.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64)[split.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = memoryview(data or b"")
+        return [bytes(data[start:end]) for start, end in zip(ends, ends[1:])]
+
+
+def _forget(known: dict[str, bytes], limit: int) -> None:
+    """Drop the later half of too many words; those met first, most of them frequent, stay."""
+    if len(known) > limit:
+        for word in list(known)[limit // 2 :]:
+            del known[word]
 
 
 @lru_cache(maxsize=1)
@@ -130,8 +146,8 @@ def cut_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         encoder = encoder_of(path)
         end = np.array([END], "<u4").tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):  # so that pieces leave while others are encoded
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, SLICE):  # so that pieces leave while others are encoded
+                batch = whole.slice(at, SLICE)
                 encoded = [ids + end for ids in encoder.encode(batch.column(1).to_pylist())]
                 spans = [(n, s, len(ids) // 4) for n, ids in enumerate(encoded) for s in range(0, len(ids) // 4, window)]
                 number, start, total = (np.array(c, np.int64) for c in zip(*spans))

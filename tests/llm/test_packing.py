@@ -60,6 +60,19 @@ def test_small_caches_change_nothing(monkeypatch, tokenizer):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids_of(tokenizer, text)[:-1]
 
 
+def test_words_met_first_stay_known_when_there_are_too_many(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 6)
+    encoder = packing.WordEncoder(packing.default_tokenizer())
+    texts = ["the house", "Seven other words\nare too many.", "", "the house again"]
+    whole = encoder.encode(texts)
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learned.extend(words), learn(words)))
+    assert [encoder.encode([text])[0] for text in texts] == whole
+    assert not {"the", "house"} & set(learned)
+
+
+
 def best_fill(lengths, counts, room):
     """Largest reachable sum, by trying every number of every length."""
     sums = {0}
