@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -27,7 +28,7 @@ COVERED = 80  # per cent of a phrase's count that a longer phrase must have for
 SCALE = 2_000_000
 SLICE_BYTES = 8 << 20  # text whose phrases become transducers together
 RANGE_BYTES = 24 << 20  # text behind one prefix range, about
-MOST_WORDS = 1 << 20  # distinct words of one slice, so that three of their numbers fit 64 bits
+MOST_WORDS = 3 << 19  # words of one slice before another part of a text, so that three of their numbers fit 64 bits
 CHUNK = 1 << 20
 SAMPLE = 2000  # documents whose beginnings say where ranges are cut; the cuts balance work only
 BITS = 26  # of the filter of frequent phrases: 8 MB whatever the corpus
@@ -38,16 +39,22 @@ BREAK = b"\xff"  # no UTF-8 text holds this byte
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
 
-def tokens(text: bytes) -> Iterator[tuple[list[bytes], int]]:
-    """Words of a UTF-8 text in order, a part of it at a time, with a mark between pieces, and the part's bytes."""
+def _parts(text: bytes) -> Iterator[bytes]:
+    """Consecutive parts of the folded text, cut between words."""
     data, at = text.translate(_FOLD), 0
     while at < len(data):
         end = data.find(b" ", at + CHUNK)
         end = len(data) if end < 0 else end
-        yield data[at:end].replace(BREAK, b" \xff ").split(), end - at
+        yield data[at:end]
         at = end
 
 
+def tokens(text: bytes) -> Iterator[tuple[list[bytes], int]]:
+    """Words of a UTF-8 text in order, a part of it at a time, with a mark between pieces, and the part's bytes."""
+    for part in _parts(text):
+        yield part.replace(BREAK, b" \xff ").split(), len(part)
+
+
 def word_hash(lang: bytes, word: bytes) -> int:
     return xxhash.xxh64_intdigest(lang + b"\0" + word)
 
@@ -72,59 +79,48 @@ def may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1).astype(bool)
 
 
-def _may_hold_word(bits: bytes, hashed: int) -> bool:
-    """``may_hold`` of one word."""
-    out = hashed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
-    out ^= out >> 31
-    one, two = out & ((1 << BITS) - 1), (out >> 32) & ((1 << BITS) - 1)
-    return bool((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1)
-
-
-class _Words(dict):
-    """Numbers of the words of one language in a slice; -1 for the mark and for words the filter rules out."""
-
-    def __init__(self, lang: bytes, bits: bytes | None):
-        super().__init__({BREAK: -1})
-        self.lang, self.bits = lang, bits
-        self.words: list[bytes] = []
-        self.hashes: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = -1
-        if self.bits is not None:
-            own = word_hash(self.lang, word)
-            if _may_hold_word(self.bits, own):
-                number = len(self.words)
-                self.hashes.append(own)
-        else:
-            number = len(self.words)
-        if number >= 0:
-            self.words.append(word)
-        self[word] = number
-        return number
-
-
 class _Slice:
-    """Words of one language, counted together."""
+    """Folded texts of one language, counted together."""
 
-    def __init__(self, lang: bytes, bits: bytes | None):
-        self.known, self.parts, self.old = _Words(lang, bits), [], []
-
-    def add(self, words: list[bytes], old: bool = False) -> None:
-        self.parts.append(np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)))
-        self.old.append(np.full(len(words), old))
+    def __init__(self, lang: bytes, bits: np.ndarray | None):
+        self.lang, self.bits = lang, bits
+        self.parts: list[bytes] = []
+        self.old: list[bool] = []
+        self.most = 0  # no fewer than the words added
+
+    def add(self, part: bytes, old: bool = False) -> None:
+        self.parts.append(part.replace(BREAK, b" \xff "))
+        self.old.append(old)
+        self.most += part.count(b" ") + part.count(BREAK) + 1
+
+    def _numbered(self) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """(codes, old, words, hashes): places of the words in their sorted list, -1 for the mark and for words the filter rules out."""
+        split = pc.split_pattern(pa.array(self.parts, pa.large_binary()), " ")
+        numbered = split.flatten().dictionary_encode()  # so that each distinct word is looked at once
+        order = pc.sort_indices(numbered.dictionary).to_numpy()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False)[order].tolist()
+        blank = order[0] if words[:1] == [b""] else -1  # between two blanks
+        held = slice(int(blank >= 0), len(words) - (words[-1:] == [BREAK]))  # the mark sorts last
+        order, words = order[held], words[held]
+        hashes = np.empty(0, np.uint64)
+        if self.bits is not None and words:
+            hashes = np.fromiter((word_hash(self.lang, word) for word in words), np.uint64, len(words))
+            held = may_hold(self.bits, phrase_hashes([hashes]))
+            order, hashes, words = order[held], hashes[held], [word for word, own in zip(words, held.tolist()) if own]
+        rank = np.full(len(numbered.dictionary), -1, np.int64)
+        rank[order] = np.arange(len(order))
+        numbers = numbered.indices.to_numpy()
+        old = np.repeat(np.array(self.old, bool), np.diff(split.offsets.to_numpy()))
+        real = numbers != blank
+        return rank[numbers[real]], old[real], words, hashes
 
     def count(self, lengths: tuple[int, ...], pairs: np.ndarray | None) -> tuple[int, list[bytes], np.ndarray, np.ndarray]:
         """(words in all, sorted words, codes, counts) of the phrases of the wanted lengths that end in new words."""
-        numbers, old = np.concatenate(self.parts), np.concatenate(self.old)
-        order = sorted(range(len(self.known.words)), key=self.known.words.__getitem__)
-        words = [self.known.words[i] for i in order]
-        rank = np.full(len(order) + 1, -1, np.int64)
-        rank[order] = np.arange(len(order))
-        codes, size = rank[numbers], len(order) + 1
+        codes, old, words, hashes = self._numbered()
+        size = len(words) + 1
         total = int(((codes >= 0) & ~old).sum())
         if lengths == (1,):
-            counts = np.bincount(codes[(codes >= 0) & ~old], minlength=len(order))
+            counts = np.bincount(codes[(codes >= 0) & ~old], minlength=len(words))
             used = np.flatnonzero(counts)
             return total, words, used[:, None], counts[used]
         together = (codes[:-1] >= 0) & (codes[1:] >= 0)
@@ -132,7 +128,6 @@ class _Slice:
             at = np.flatnonzero(together & ~old[1:])
             keys, counts = np.unique(codes[at] * size + codes[at + 1], return_counts=True)
             return total, words, np.column_stack([keys // size, keys % size]), counts
-        hashes = np.array(self.known.hashes, np.uint64)[order] if order else np.empty(0, np.uint64)
         at = np.flatnonzero(together)
         together[at] = may_hold(pairs, phrase_hashes([hashes[codes[at]], hashes[codes[at + 1]]]))
         at = np.flatnonzero(together[:-1] & together[1:])
@@ -157,7 +152,7 @@ def _shards(lengths: tuple[int, ...], ranges: Ranges, words, pairs, slice_bytes:
     """Count transducers (range, lang, total, entries, automaton) of slices of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = words.value if words else None
+        one = np.frombuffer(words.value, np.uint8) if words else None
         two = np.frombuffer(pairs.value, np.uint8) if pairs else None
         overlap = max(lengths) - 1
         slices: dict[str, _Slice] = {}
@@ -182,20 +177,21 @@ def _shards(lengths: tuple[int, ...], ranges: Ranges, words, pairs, slice_bytes:
             for row in range(batch.num_rows):
                 text, lang = texts[row].as_py(), batch.column(1)[row].as_py()
                 tail: list[bytes] = []
-                for part, part_bytes in tokens(text):
-                    if size >= slice_bytes or (lang in slices and len(slices[lang].known.words) > MOST_WORDS):
+                for part in _parts(text):
+                    if size >= slice_bytes or (lang in slices and slices[lang].most > MOST_WORDS):
                         yield from done()
                         slices, size = {}, 0
                         if tail:
                             slices[lang] = _Slice(lang.encode(), one)
-                            slices[lang].add(tail, old=True)
+                            slices[lang].add(b" ".join(tail), old=True)
                     if lang not in slices:
                         slices[lang] = _Slice(lang.encode(), one)
                     slices[lang].add(part)
-                    size += part_bytes
-                    tail = (tail + part[-overlap:])[-overlap:] if overlap else []
+                    size += len(part)
+                    if overlap and len(text) > CHUNK:  # else there is no further part
+                        tail = (tail + part.replace(BREAK, b" \xff ").rsplit(None, overlap)[-overlap:])[-overlap:]
                 if lang in slices:
-                    slices[lang].add([BREAK])
+                    slices[lang].add(BREAK)
         yield from done()
 
     return run

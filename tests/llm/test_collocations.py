@@ -129,3 +129,20 @@ def test_ranges_follow_word_order():
         split = [made.words[c] for c in row if c >= 0]
         assert ranges.of(split[0], split[1] if len(split) > 1 else b"") == where
     assert ranges.hot and len(set(numbers.tolist())) > 5
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 7])
+def test_slices_of_folded_texts_hold_the_words_of_the_plain_split(monkeypatch, chunk):
+    monkeypatch.setattr(collocations, "CHUNK", chunk)
+    texts = ["", " ", "  a  b\tA,", "..", "b.c  d ,e\n\nf", "\x1c \x85 é z", "abcdefghijkl m", "a b a b a b"]
+    own = collocations._Slice(b"en", None)
+    expected = []
+    for text in texts:
+        for part in collocations._parts(text.encode()):
+            own.add(part)
+        own.add(collocations.BREAK)
+        expected += [w for part, _ in collocations.tokens(text.encode()) for w in part] + [collocations.BREAK]
+    codes, old, words, _ = own._numbered()
+    assert words == sorted({*expected} - {collocations.BREAK})
+    assert [words[c] if c >= 0 else collocations.BREAK for c in codes.tolist()] == expected
+    assert not old.any() and own.most >= len(expected) - expected.count(collocations.BREAK)
