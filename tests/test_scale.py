@@ -36,3 +36,19 @@ def test_method_limit_holds_inside_only(spark, before):
         assert spark.conf.get(name, None) == outside
     finally:
         spark.conf.set(name, found) if found else spark.conf.unset(name)
+
+
+def test_spread_rows_are_written_where_they_are(spark, tmp_path):
+    from riskmart.sources import catalog
+
+    rows = spark.range(0, 600, 1, 3).selectExpr("id", "concat('split', id % 4) AS split")
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    catalog.create_database(spark, "spread_checks")
+    for spread, files in ((True, 3), (False, 1)):
+        table, path = f"spread_checks.t{spread}", f"{tmp_path}/{spread}"
+        catalog.write_partitioned(rows, table, path, spread=spread)
+        assert len(list((tmp_path / str(spread) / "split=split1").glob("part-*"))) == files  # no shuffle: one of each task
+        found = [tuple(r) for r in catalog.read_partition(spark, table, "split1").collect()]
+        assert sorted(found) == [(i, "split1") for i in range(1, 600, 4)]
+    assert spark.conf.get(name, None) == before
