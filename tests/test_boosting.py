@@ -197,3 +197,56 @@ def test_jobs_take_second_order_trees(spark):
     found = attribution.ablate(df, df, SCHEMA.order, "b", "y", params=few, id_column="id").collect()
     assert {r.variant for r in found} == {"with", "without"} and {r["value"] for r in found} == {"u", "v", "w"}
     assert all(0 <= r.test_pr_auc <= 1 for r in found)
+
+
+def binned(spark, seed=8):
+    df = spark.createDataFrame(rows(seed), KIND)
+    return boosting.start_boosting(df, SCHEMA, "y", "id", {**PLAIN, "num_round": 2, "max_depth": 2, "lambda": 1.0})
+
+
+def test_sums_in_arrays_equal_brute_force(spark, monkeypatch):
+    booster = binned(spark)
+    features = list(zip(range(4), booster.binning.bins, booster.binning.sizes()))
+    at = booster.rows.select("*", F.expr("cast(_id % 3 * 2 + 1 AS int) AS node"), F.expr("_id / 7 AS g"), F.expr("_y + 1 AS h"))
+    at = at.where("node <> 5").repartition(3)
+    wanted = {}
+    for r in at.collect():
+        for i, name, _ in features:
+            g, h = wanted.get((r.node, i, r[name]), (0, 0))
+            wanted[r.node, i, r[name]] = (g + r.g, h + r.h)
+    assert any(b is None for _, _, b in wanted)
+    monkeypatch.setattr(boosting, "ARRAY_ROWS", 20)
+    for cells in (1 << 17, 12, 0):  # all features in arrays, some, none
+        monkeypatch.setattr(boosting, "ARRAY_CELLS", cells)
+        found = {(r.node, r.feature, r.bin): (r.g, r.h) for r in boosting._bin_sums(at, features, [1, 3]).collect()}
+        assert found.keys() == wanted.keys()
+        assert all(found[k] == pytest.approx(wanted[k]) for k in wanted)
+
+
+def test_a_level_reads_the_rows_once(spark):
+    booster = binned(spark)
+    read, n = spark.sparkContext.accumulator(0), booster.rows.count()
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    booster.rows = booster.rows.mapInArrow(count, booster.rows.schema)
+    tree = booster._grow_tree()
+    assert max(tree) > 3 and read.value == 2 * n
+
+
+def test_unwritten_trees_count(spark, monkeypatch):
+    trees = []
+    for limit in (0, 1000):
+        monkeypatch.setattr(boosting, "UNWRITTEN", limit)
+        booster = binned(spark)
+        first = booster.path
+        booster.grow(2, watch=False)
+        assert (booster.path == first) == (limit == 1000)
+        margins = {r._id: r._margin for r in booster.scored().collect()}
+        assert margins == pytest.approx({r.id: r.margin for r in booster.model().add_margin(spark.createDataFrame(rows(8), KIND)).collect()})
+        trees.append([{n: vars(node) for n, node in t.items()} for t in booster.trees])
+        booster.close()
+    assert str(trees[0]) == str(trees[1])
