@@ -250,3 +250,18 @@ def test_unwritten_trees_count(spark, monkeypatch):
         trees.append([{n: vars(node) for n, node in t.items()} for t in booster.trees])
         booster.close()
     assert str(trees[0]) == str(trees[1])
+
+
+def test_halving_bins_the_rows_once(spark, monkeypatch):
+    train, validation = spark.createDataFrame(rows(5, 60), KIND), spark.createDataFrame(rows(6, 40), KIND)
+    calls, started = [], []
+    apply, start = boosting.Binning.apply, boosting.start_boosting
+    monkeypatch.setattr(boosting.Binning, "apply", lambda self, df: calls.append(1) or apply(self, df))
+    monkeypatch.setattr(search, "start_boosting", lambda *a: started.append(start(*a)) or started[-1])
+    ranges = {**search.SEARCH_RANGES, "max_depth": (1, 1, "integer"), "num_round": (1, 2, "integer")}
+    trials, fitted = search.halving_search(train, validation, SCHEMA, "y", "id", trials=3, rungs=(1, 2), ranges=ranges)
+    assert len(calls) == 1 and started[0].path == ""  # the shared rows are gone
+    winner = next(r for r in trials.collect() if r.won)
+    drawn = search.draw_settings(3, ranges=ranges)[winner.trial]
+    alone = boosting.fit_second_order(train, SCHEMA, "y", "id", drawn, validation).model()
+    assert str([{n: vars(x) for n, x in t.items()} for t in alone.trees]) == str([{n: vars(x) for n, x in t.items()} for t in fitted.trees])
