@@ -13,6 +13,7 @@ from ..operators.modeling import Bundle
 from ..operators.monitoring import (
     data_quality_violations, metric_rows, model_quality_statistics, model_quality_violations,
 )
+from ..session import materialise
 
 
 def feature_input(df: DataFrame) -> DataFrame:
@@ -40,11 +41,15 @@ def data_quality_job(
 def model_quality_job(
     bundle: Bundle, validation: DataFrame, production: DataFrame, id_column: str, target: str
 ) -> dict[str, DataFrame]:
-    """Statistics of both splits through the frozen bundle, and what got worse."""
+    """Statistics of both splits through the frozen bundle, and what got worse.
+
+    Every table reads the scores several times, so each split is scored and written once.
+    """
     cut = bundle.threshold["threshold"]
     base, now = (
-        model_quality_statistics(bundle.score(df, id_column, [target]), "probability", target, cut)
-        for df in (validation, production)
+        materialise(model_quality_statistics(materialise(
+            bundle.score(df, id_column, [target]).select("probability", target), name), "probability", target, cut), f"{name}-statistics")
+        for name, df in (("baseline", validation), ("current", production))
     )
     return {"baseline": base, "current": now, "violations": model_quality_violations(base, now)}
 

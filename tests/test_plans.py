@@ -73,3 +73,28 @@ def test_no_nested_loops(spark, name):
 def test_cut_level_is_broadcast_to_the_scored_rows(spark, orders):
     df = orders.select(F.col("o_orderkey").alias("id"), F.lit(0.5).alias("s"), F.lit(1).alias("y"))
     assert "BroadcastHashJoin" in plan(ranking.precision_at(df, "s", "y", "id", [0.1]))
+
+
+def test_quality_job_scores_each_row_once(spark):
+    from riskmart.operators.modeling import Bundle
+    from riskmart.plans.monitoring import model_quality_job
+
+    scored = spark.sparkContext.accumulator(0)
+
+    class Model:
+        def add_score(self, df, output):
+            def count(batches):
+                for batch in batches:
+                    scored.add(batch.num_rows)
+                    yield batch
+
+            df = df.withColumn(output, F.col("x"))
+            return df.mapInArrow(count, df.schema)
+
+    rows = [(i, i / 40, int(i % 3 == 0)) for i in range(40)]
+    base, now = (spark.createDataFrame(part, "id int, x double, y int") for part in (rows[:25], rows[25:]))
+    bundle = Bundle(Model(), {"a": 1.0, "b": 0.0}, {"threshold": 0.6}, {"feature_order": ["x"]})
+    report = model_quality_job(bundle, base, now, "id", "y")
+    found = {name: {r.metric: r[-1] for r in report[name].collect()} for name in ("baseline", "current")}
+    assert set(report["violations"].select("metric").toPandas()["metric"]) <= set(found["current"])
+    assert scored.value == 40 and 0 < found["baseline"]["auc"] < 1
